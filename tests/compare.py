@@ -1,0 +1,75 @@
+"""Compare registered queries with their SQL.
+
+Run as a script: ``python tests/compare.py [sf_dir] [query ...]``.
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def normal(rows: pd.DataFrame) -> list[tuple]:
+    rows = rows[sorted(rows.columns)].astype(object)
+    rows = rows.where(rows.notna(), None)
+    return sorted(rows.itertuples(index=False, name=None), key=repr)
+
+
+def difference(spark_df, sql: str, con) -> str | None:
+    """What differs, or None."""
+    got = normal(spark_df.toPandas().convert_dtypes())
+    wanted_df = con.execute(sql).df().convert_dtypes()
+    wanted = normal(wanted_df)
+    if sorted(spark_df.columns) != sorted(wanted_df.columns):
+        return f"columns {sorted(spark_df.columns)} != {sorted(wanted_df.columns)}"
+    if got == wanted:
+        return None
+    only = [row for row in set(got) - set(wanted)][:3]
+    lack = [row for row in set(wanted) - set(got)][:3]
+    return f"{len(got)} rows, wanted {len(wanted)}; only in Spark {only}, only in SQL {lack}"
+
+
+def main() -> int:
+    from __spark_entry__ import oracle_sql, queries
+    from kickflow.session import build
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = build(
+        "compare",
+        "local[8]",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"},
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = database(sf_dir)
+    failed = 0
+    for name in sys.argv[2:] or queries():
+        start = time.time()
+        try:
+            result = difference(queries()[name](spark, sf_dir), oracle_sql()[name], con)
+        except Exception as error:
+            result = f"{type(error).__name__}: {str(error)[:1500]}"
+        failed += result is not None
+        print(f"{name:28} {time.time() - start:6.1f}s  {result or 'ok'}", flush=True)
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main())
