@@ -28,9 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def numbered(rows: DataFrame) -> DataFrame:
     """A table with ``source_row``, which is the same in every attempt to read a row."""
-    return table(spark, sf_dir, name).withColumn(
+    return rows.withColumn(
         "source_row", F.xxhash64("_metadata.file_path", "_metadata.row_index")
     )
 
@@ -43,15 +43,38 @@ def month(column: str = "o_orderdate") -> Column:
     return F.date_format(F.trunc(column, "MM"), "yyyy-MM-dd")
 
 
-def paged(rows: DataFrame, keys: list[str], record: Column) -> DataFrame:
-    """Arrays of records per key, in pages, so that a hot key fills no single task.
+def page_count(rows: Column) -> Column:
+    return F.ceil(rows / PAGE_RECORDS).alias("pages")
 
-    Rows are dealt to pages by their place in the source file, which tells even
-    equal rows apart.
+
+def page() -> Column:
+    """Page of a numbered row; its place in the source file tells even equal rows apart."""
+    return F.pmod("source_row", "pages")
+
+
+def with_records(
+    parents: DataFrame, key: str, children: DataFrame, child_key: str, record: Column
+) -> DataFrame:
+    """Each parent with its child rows as an array ``records``, in pages.
+
+    A parent without children has NULL records. Counting comes first, so that the
+    rows of a hot parent can be dealt to many pages and fill no single task; the
+    join before that can split them, as they are not grouped yet. The arrays are
+    joined with nothing afterwards, and neither join is a broadcast, since both
+    sides grow with the data.
     """
-    pages = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / PAGE_RECORDS).alias("pages"))
-    dealt = rows.join(pages, keys).withColumn("page", F.pmod("source_row", "pages"))
-    return dealt.groupBy(*keys, "page").agg(F.collect_list(record).alias("records"))
+    columns = parents.columns
+    counts = children.groupBy(child_key).agg(page_count(F.count(F.lit(1))))
+    sized = parents.join(counts.hint("merge"), F.col(key) == F.col(child_key), "left")
+    sized = sized.select(*columns, "pages")
+    dealt = numbered(children).join(sized.hint("merge"), F.col(child_key) == F.col(key))
+    filled = dealt.groupBy(*columns, page().alias("page")).agg(
+        F.collect_list(record).alias("records")
+    )
+    none = sized.where(F.col("pages").isNull()).select(
+        *columns, F.lit(None).cast(filled.schema["records"].dataType).alias("records")
+    )
+    return filled.drop("page").unionByName(none)
 
 
 def truncated(body: Column) -> Column:
@@ -90,13 +113,14 @@ def line_replies(
     ds: Column,
 ) -> DataFrame:
     """One reply per order (and page) with its line items as records."""
-    lines = numbered(spark, sf_dir, "lineitem")
-    pages = paged(lines, ["l_orderkey"], record)
-    orders = table(spark, sf_dir, "orders")
-    answered = orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", ds.alias("ds")
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    answered = with_records(orders, "o_orderkey", lines, "l_orderkey", record)
     records = F.col("records")
     whole = F.when(records.isNotNull(), F.to_json(body(records))).otherwise(empty)
-    return as_replies(answered, endpoint, whole, ds)
+    return as_replies(answered, endpoint, whole, F.col("ds"))
 
 
 def shotmap_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
@@ -367,9 +391,9 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("o_totalprice").alias("current")).alias("homeScore"),
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("startTimestamp"),
     )
-    pages = paged(numbered(spark, sf_dir, "orders"), ["o_custkey"], event)
-    customers = table(spark, sf_dir, "customer")
-    answered = customers.join(pages, customers.c_custkey == pages.o_custkey, "left")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    orders = table(spark, sf_dir, "orders")
+    answered = with_records(customers, "c_custkey", orders, "o_custkey", event)
     events = F.coalesce(F.col("records"), F.array())
     status = _customer_status()
     return answered.select(
@@ -416,11 +440,16 @@ def matchday_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
             ).alias("category"),
         ).alias("tournament"),
     )
-    orders = numbered(spark, sf_dir, "orders").withColumn("ds", day() if ds is None else ds)
+    ds = day() if ds is None else ds
+    orders = table(spark, sf_dir, "orders")
+    sizes = orders.groupBy(ds.alias("ds")).agg(page_count(F.count(F.lit(1))))
+    orders = numbered(orders).withColumn("ds", ds).join(sizes, "ds")
     customers = table(spark, sf_dir, "customer")
     played = orders.join(customers, orders.o_custkey == customers.c_custkey)
-    listed = paged(played, ["ds"], event).withColumn(
-        "whole", F.to_json(F.struct(F.col("records").alias("events")))
+    listed = (
+        played.groupBy("ds", page().alias("page"))
+        .agg(F.collect_list(event).alias("records"))
+        .withColumn("whole", F.to_json(F.struct(F.col("records").alias("events"))))
     )
     status = F.when(F.col("ds") == CLOSED_DAY, 404).when(F.col("ds") != FAILED_DAY, 200)
     body = F.when(F.col("ds") == TRUNCATED_DAY, truncated(F.col("whole")))
