@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more exchange for the next step.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lets a lookup by key and day use replies that are bucketed by key alone.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -14,8 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A reply holds about this many records; a key with more gets several replies.
+# A reply holds about this many records, or more where else too many keys would
+# need several replies.
 PAGE_RECORDS = 5000
+MAX_HOT_KEYS = 1_000_000
 
 TRUNCATED_BELOW = 20_000.0
 CLOSED_DAY = "1998-01-01"
@@ -43,13 +45,29 @@ def month(column: str = "o_orderdate") -> Column:
     return F.date_format(F.trunc(column, "MM"), "yyyy-MM-dd")
 
 
-def page_count(rows: Column) -> Column:
-    return F.ceil(rows / PAGE_RECORDS).alias("pages")
+def page_size(rows: DataFrame) -> int:
+    """Records per reply, so many that at most ``MAX_HOT_KEYS`` keys need a second one."""
+    return max(PAGE_RECORDS, -(-rows.count() // MAX_HOT_KEYS))
 
 
-def page() -> Column:
-    """Page of a numbered row; its place in the source file tells even equal rows apart."""
-    return F.pmod("source_row", "pages")
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys with more rows than one reply holds, and their number of replies.
+
+    Small enough to broadcast at any scale: fewer than all rows over the page size.
+    """
+    size = page_size(rows)
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > size)
+    return F.broadcast(counts.select(key, F.ceil(F.col("n") / size).alias("pages")))
+
+
+def dealt(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Rows with a ``page``; those of a hot key go to pages by their place in the file."""
+    return (
+        numbered(rows)
+        .join(hot, key, "left")
+        .withColumn("page", F.pmod("source_row", F.coalesce("pages", F.lit(1))))
+        .drop("pages", "source_row")
+    )
 
 
 def with_records(
@@ -57,24 +75,24 @@ def with_records(
 ) -> DataFrame:
     """Each parent with its child rows as an array ``records``, in pages.
 
-    A parent without children has NULL records. Counting comes first, so that the
-    rows of a hot parent can be dealt to many pages and fill no single task; the
-    join before that can split them, as they are not grouped yet. The arrays are
-    joined with nothing afterwards, and neither join is a broadcast, since both
-    sides grow with the data.
+    A parent without children has NULL records. Children are shuffled once, by key
+    and page, so the rows of a hot parent go to many tasks. The parents follow them:
+    one row for each page. That join stays a shuffle, as arrays are larger than they
+    are estimated to be.
     """
-    columns = parents.columns
-    counts = children.groupBy(child_key).agg(page_count(F.count(F.lit(1))))
-    sized = parents.join(counts.hint("merge"), F.col(key) == F.col(child_key), "left")
-    sized = sized.select(*columns, "pages")
-    dealt = numbered(children).join(sized.hint("merge"), F.col(child_key) == F.col(key))
-    filled = dealt.groupBy(*columns, page().alias("page")).agg(
-        F.collect_list(record).alias("records")
+    hot = hot_keys(children, child_key)
+    filled = (
+        dealt(children, child_key, hot)
+        .groupBy(child_key, "page")
+        .agg(F.collect_list(record).alias("records"))
+        .withColumnRenamed(child_key, key)
     )
-    none = sized.where(F.col("pages").isNull()).select(
-        *columns, F.lit(None).cast(filled.schema["records"].dataType).alias("records")
+    slots = parents.join(hot.withColumnRenamed(child_key, key), key, "left").withColumn(
+        "page", F.explode(F.sequence(F.lit(0), F.coalesce("pages", F.lit(1)) - 1))
     )
-    return filled.drop("page").unionByName(none)
+    joined = slots.join(filled.hint("merge"), [key, "page"], "left")
+    wanted = F.col("records").isNotNull() | F.col("pages").isNull()
+    return joined.where(wanted).drop("page", "pages")
 
 
 def truncated(body: Column) -> Column:
@@ -441,13 +459,13 @@ def matchday_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
         ).alias("tournament"),
     )
     ds = day() if ds is None else ds
-    orders = table(spark, sf_dir, "orders")
-    sizes = orders.groupBy(ds.alias("ds")).agg(page_count(F.count(F.lit(1))))
-    orders = numbered(orders).withColumn("ds", ds).join(sizes, "ds")
+    orders = table(spark, sf_dir, "orders").withColumn("ds", ds)
     customers = table(spark, sf_dir, "customer")
-    played = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    played = dealt(orders, "ds", hot_keys(orders, "ds")).join(
+        customers, F.col("o_custkey") == F.col("c_custkey")
+    )
     listed = (
-        played.groupBy("ds", page().alias("page"))
+        played.groupBy("ds", "page")
         .agg(F.collect_list(event).alias("records"))
         .withColumn("whole", F.to_json(F.struct(F.col("records").alias("events"))))
     )
