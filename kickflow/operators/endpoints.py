@@ -7,7 +7,7 @@ replies, which costs one more pass over them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,7 @@ from kickflow.functions.bodies import (
 )
 from kickflow.functions.nested import at, check_names, expand, flat_name, leaves
 from kickflow.operators.rows import row_status, rows_or_error
-from kickflow.schemas import BEST_PLAYER, LINEUP_ENTRY, STATISTIC_ITEM, ddl
+from kickflow.schemas import BEST_PLAYER, LINEUP_ENTRY, STATISTIC_ITEM, TEXT, ddl, struct_of
 
 VARIANTS = T.ArrayType(T.VariantType())
 
@@ -160,113 +160,146 @@ def match_lineups(
 ) -> DataFrame:
     """One row per player: player fields, overwritten by statistics, then line-up fields.
 
-    A statistics member that is present with null overwrites too, so elements are
-    kept as variants, which tell null from absent. More than one side adds ``team``.
+    More than one side adds ``team``.
     """
-    team_shape = T.StructType().add("players", VARIANTS)
-    shape = T.StructType([T.StructField(side, team_shape) for side in sides])
-    parsed = replies.withColumn("lineups", member(F.col("body"), [], shape))
-
-    def well_formed(entry: Column) -> Column:
-        objects = has_object(entry, "player") & has_object(entry, "statistics")
-        return reduce(lambda ok, name: ok & has(entry, name), LINEUP_ENTRY.names, objects)
-
-    def players(side: str) -> Column:
-        return F.transform(
-            F.col("lineups").getField(side).getField("players"),
-            lambda e: F.when(
-                well_formed(e), F.struct(e.alias("entry"), F.lit(side).alias("team"))
-            ),
+    body, good = F.col("body"), F.col("status_code") == 200
+    if player is None or statistics is None:
+        entries = F.flatten(
+            F.array(*[F.coalesce(_entries(body, side), F.array()) for side in sides])
+        )
+        entries = replies.where(good).select(F.explode(entries).alias("entry"))
+        parts = {
+            name: F.variant_get("entry", variant_path(name), "variant")
+            for name in ("player", "statistics")
+        }
+        player = player or infer_record(entries.select(parts["player"].alias("v")), "v")
+        statistics = statistics or infer_record(
+            entries.select(parts["statistics"].alias("v")), "v"
         )
 
-    rows = rows_or_error(parsed, _home_then(*[players(side) for side in sides]), on_bad)
-    entry = F.col("record.entry")
-
-    def seen(name: str) -> T.StructType:
-        part = F.variant_get(entry, variant_path(name), "variant")
-        return infer_record(rows.select(part.alias("part")), "part")
-
-    player = player or seen("player")
-    statistics = statistics or seen("statistics")
+    shared = [name for name in player.names if name in statistics.names]
+    typed = [_typed_players(body, side, player, statistics, shared) for side in sides]
+    single = [_single_players(body, side, player, statistics, shared) for side in sides]
+    parsed = replies.withColumn("typed", F.when(good, F.concat(*typed)))
+    complete = F.forall("typed", lambda p: p.isNotNull())
+    found = F.when(complete, F.col("typed")).otherwise(_home_then(*single))
+    rows = rows_or_error(parsed, found, on_bad)
 
+    row = F.col("record")
     keep = ["match_id", "status_code", "ds"] + (["team"] if len(sides) > 1 else [])
     early = {flat_name(p): p for p in leaves(player) if p[0] not in LINEUP_ENTRY.names + keep}
     late = {flat_name(p): p for p in leaves(statistics) if p[0] not in LINEUP_ENTRY.names + keep}
-    paths = [*early.values(), *[p for name, p in late.items() if name not in early]]
-    check_names([*paths, *[(name,) for name in LINEUP_ENTRY.names + keep]])
-    merged = {}
-    for path in paths:
-        name = flat_name(path)
-        value = at(F.col("player"), early[name]) if name in early else F.lit(None)
-        if name in late:
-            value = F.when(has(entry, "statistics", path[0]), at(F.col("statistics"), late[name])).otherwise(value)
-        elif path[0] in statistics.names:
-            value = F.when(~has(entry, "statistics", path[0]), value)
-        merged[name] = value
-    typed = rows.withColumns(
-        {
-            "player": F.try_variant_get(entry, "$.player", ddl(player)),
-            "statistics": F.try_variant_get(entry, "$.statistics", ddl(statistics)),
-            "place": F.try_variant_get(entry, "$", ddl(LINEUP_ENTRY)),
-        }
-    )
-    return typed.select(
-        *[value.alias(name) for name, value in merged.items()],
-        *[F.col("place").getField(name).alias(name) for name in LINEUP_ENTRY.names],
+    paths = {**early, **late}
+    check_names([*paths.values(), *[(name,) for name in LINEUP_ENTRY.names + keep]])
+
+    def merged(name: str) -> Column:
+        value = at(row.player, early[name]) if name in early else F.lit(None)
+        later = at(row.statistics, late[name]) if name in late else F.lit(None)
+        top = paths[name][0]
+        if top in shared:
+            return F.when(row.shown[top], later).otherwise(value)
+        return later if name in late else value
+
+    return rows.select(
+        *[merged(name).alias(name) for name in paths],
+        *[row.place[name].alias(name) for name in LINEUP_ENTRY.names],
         F.col("key").alias("match_id"),
         "status_code",
         "ds",
-        *([F.col("record.team").alias("team")] if len(sides) > 1 else []),
+        *([row.team.alias("team")] if len(sides) > 1 else []),
     )
 
 
-def match_statistics(replies: DataFrame, strict: bool = True) -> DataFrame:
-    """Statistic items of all periods and groups, 14 columns and ``ds``.
+def _entries(body: Column, side: str) -> Column:
+    return member(body, [side, "players"], VARIANTS)
 
-    A member that is missing fails the job when ``strict``; otherwise it counts as
-    a bad element: rows before it stay and one error row follows.
+
+def _typed_players(
+    body: Column, side: str, player: T.StructType, statistics: T.StructType, shared: list[str]
+) -> Column:
+    """Players of a side; one is NULL if its values do not say what overwrites what.
+
+    That is so where a value is NULL: it may be null or absent, which differs for
+    the line-up fields and for a field that only the player has a value for.
     """
-    body = F.col("body")
+    entry = T.StructType([*struct_of(player=player, statistics=statistics), *LINEUP_ENTRY])
 
-    def array(value: Column, name: str) -> Column:
-        return F.try_variant_get(value, variant_path(name), "array<variant>")
+    def row(e: Column) -> Column:
+        clear = reduce(
+            lambda ok, name: ok & e[name].isNotNull(),
+            LINEUP_ENTRY.names,
+            e.player.isNotNull() & e.statistics.isNotNull(),
+        )
+        for name in shared:
+            clear = clear & (e.statistics[name].isNotNull() | e.player[name].isNull())
+        place = F.struct(*[e[name].alias(name) for name in LINEUP_ENTRY.names])
+        shown = {name: e.statistics[name].isNotNull() for name in shared}
+        return F.when(clear, _player_row(e.player, e.statistics, place, shown, side))
+
+    return F.transform(member(body, [side, "players"], T.ArrayType(entry)), row)
+
+
+def _single_players(
+    body: Column, side: str, player: T.StructType, statistics: T.StructType, shared: list[str]
+) -> Column:
+    """Players of a side, read one by one; one that lacks a member is NULL.
+
+    A variant tells null from absent: a field of the statistics that is there with
+    null overwrites the player's.
+    """
 
-    def item_row(period: Column, group: Column, item: Column) -> Column:
-        value = F.try_variant_get(item, "$", ddl(STATISTIC_ITEM))
-        complete = has(period, "period") & has(group, "groupName") & value.isNotNull()
-        for name in STATISTIC_ITEM.names:
-            complete = complete & has(item, name)
+    def row(e: Column) -> Column:
+        well_formed = reduce(
+            lambda ok, name: ok & has(e, name),
+            LINEUP_ENTRY.names,
+            has_object(e, "player") & has_object(e, "statistics"),
+        )
         return F.when(
-            complete,
-            F.struct(
-                F.try_variant_get(period, "$.period", "string").alias("period"),
-                F.try_variant_get(group, "$.groupName", "string").alias("groupName"),
-                value.alias("item"),
+            well_formed,
+            _player_row(
+                F.try_variant_get(e, "$.player", ddl(player)),
+                F.try_variant_get(e, "$.statistics", ddl(statistics)),
+                F.try_variant_get(e, "$", ddl(LINEUP_ENTRY)),
+                {name: has(e, "statistics", name) for name in shared},
+                side,
             ),
         )
 
-    def inner(values: Column, rows_of) -> Column:
-        bad = F.array(F.lit(None))
-        return F.flatten(F.transform(values, lambda v: F.coalesce(rows_of(v), bad)))
+    return F.transform(_entries(body, side), row)
 
-    periods = member(body, ["statistics"], VARIANTS)
-    found = inner(
-        periods,
-        lambda p: inner(
-            array(p, "groups"),
-            lambda g: F.transform(array(g, "statisticsItems"), lambda i: item_row(p, g, i)),
-        ),
+
+def _player_row(
+    player: Column, statistics: Column, place: Column, shown: dict[str, Column], side: str
+) -> Column:
+    flags = [flag.alias(name) for name, flag in shown.items()]
+    return F.struct(
+        player.alias("player"),
+        statistics.alias("statistics"),
+        place.alias("place"),
+        F.lit(side).alias("team"),
+        *([F.struct(*flags).alias("shown")] if flags else []),
     )
+
+
+def match_statistics(replies: DataFrame, strict: bool = True) -> DataFrame:
+    """Statistic items of all periods and groups, 14 columns and ``ds``.
+
+    A member that is missing fails the job when ``strict``; otherwise it counts as
+    a bad element: rows before it stay and one error row follows.
+    """
+    good = F.col("status_code") == 200
+    parsed = replies.withColumn("typed", F.when(good, _typed_items(F.col("body"))))
+    complete = F.forall("typed", _has_all_values)
+    found = F.when(complete, F.col("typed")).otherwise(_single_items(F.col("body")))
     if strict:
-        replies = replies.withColumn("found", F.when(F.col("status_code") == 200, found))
-        array_found = F.col("found")
+        parsed = parsed.withColumn("items", F.when(good, found))
         message = F.concat(F.lit("statistics of match "), F.col("key"), F.lit(" lack a member"))
-        readable = member(body, [], T.VariantType()).isNotNull()
-        broken = F.exists(array_found, lambda e: e.isNull()) | (
-            (F.col("status_code") == 200) & array_found.isNull() & readable
+        readable = member(F.col("body"), [], T.VariantType()).isNotNull()
+        broken = F.exists("items", lambda e: e.isNull()) | (
+            good & F.col("items").isNull() & readable
         )
-        found = F.when(broken, F.raise_error(message)).otherwise(array_found)
-    rows = rows_or_error(replies, found).withColumnRenamed("key", "match_id")
+        found = F.when(broken, F.raise_error(message)).otherwise(F.col("items"))
+    rows = rows_or_error(parsed, found).withColumnRenamed("key", "match_id")
     record = F.col("record")
     return rows.select(
         record.period.alias("period"),
@@ -276,3 +309,71 @@ def match_statistics(replies: DataFrame, strict: bool = True) -> DataFrame:
         "match_id",
         "ds",
     )
+
+
+def _item_row(period: Column, group: Column, item: Column) -> Column:
+    return F.struct(period.alias("period"), group.alias("groupName"), item.alias("item"))
+
+
+def _typed_items(body: Column) -> Column:
+    """All items of a reply in order; NULL if an array on the way is missing."""
+    group = struct_of(groupName=TEXT, statisticsItems=T.ArrayType(STATISTIC_ITEM))
+    period = struct_of(period=TEXT, groups=T.ArrayType(group))
+    return F.flatten(
+        F.transform(
+            member(body, ["statistics"], T.ArrayType(period)),
+            lambda p: F.flatten(
+                F.transform(
+                    p.groups,
+                    lambda g: F.transform(
+                        g.statisticsItems, lambda i: _item_row(p.period, g.groupName, i)
+                    ),
+                )
+            ),
+        )
+    )
+
+
+def _has_all_values(row: Column) -> Column:
+    values = [row["item"][name] for name in STATISTIC_ITEM.names]
+    return reduce(
+        lambda ok, value: ok & value.isNotNull(), values, row.period.isNotNull() & row.groupName.isNotNull()
+    )
+
+
+def _single_items(body: Column) -> Column:
+    """All items in order, read one by one; one that lacks a member is NULL.
+
+    Needed where a value is NULL, as only a variant tells null from absent.
+    """
+
+    def array(value: Column, name: str) -> Column:
+        return F.try_variant_get(value, variant_path(name), "array<variant>")
+
+    def row(period: Column, group: Column, item: Column) -> Column:
+        complete = reduce(
+            lambda ok, name: ok & has(item, name),
+            STATISTIC_ITEM.names,
+            has(period, "period") & has(group, "groupName"),
+        )
+        text = "string"
+        return F.when(
+            complete,
+            _item_row(
+                F.try_variant_get(period, "$.period", text),
+                F.try_variant_get(group, "$.groupName", text),
+                F.try_variant_get(item, "$", ddl(STATISTIC_ITEM)),
+            ),
+        )
+
+    def each(values: Column, rows_of: Callable[[Column], Column]) -> Column:
+        bad = F.array(F.lit(None))
+        return F.flatten(F.transform(values, lambda v: F.coalesce(rows_of(v), bad)))
+
+    return each(
+        member(body, ["statistics"], VARIANTS),
+        lambda p: each(
+            array(p, "groups"),
+            lambda g: F.transform(array(g, "statisticsItems"), lambda i: row(p, g, i)),
+        ),
+    )

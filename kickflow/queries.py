@@ -15,7 +15,7 @@ from kickflow.operators import endpoints
 from kickflow.plans.daily import run_days
 from kickflow.plans.job import JobConfig, run_job
 from kickflow.plans.retention import expire, expired_days
-from kickflow.schemas import FLAG, INT, LONG, REAL, REPLIES, TEXT, record
+from kickflow.schemas import FLAG, INT, LONG, REAL, REPLIES, TEXT, struct_of
 from kickflow.session import configure, shared_folder
 from kickflow.sinks.tables import (
     append,
@@ -35,36 +35,36 @@ from kickflow.streaming.incremental import take_in
 FIRST_DAY, LAST_DAY = "1900-01-01", "2999-12-31"
 
 
-MATCH = record(
+MATCH = struct_of(
     id=LONG,
     customId=TEXT,
     startTimestamp=LONG,
-    status=record(type=TEXT),
-    tournament=record(name=TEXT, category=record(sport=record(name=TEXT))),
+    status=struct_of(type=TEXT),
+    tournament=struct_of(name=TEXT, category=struct_of(sport=struct_of(name=TEXT))),
 )
-SHOT = record(id=INT, xg=REAL, player=record(id=LONG, flag=TEXT))
-EVENT = record(
-    id=LONG, status=record(type=TEXT), homeScore=record(current=REAL), startTimestamp=LONG
+SHOT = struct_of(id=INT, xg=REAL, player=struct_of(id=LONG, flag=TEXT))
+EVENT = struct_of(
+    id=LONG, status=struct_of(type=TEXT), homeScore=struct_of(current=REAL), startTimestamp=LONG
 )
-INCIDENT = record(
+INCIDENT = struct_of(
     id=INT,
     incidentType=TEXT,
     time=LONG,
-    player=record(id=LONG, team=record(code=TEXT)),
+    player=struct_of(id=LONG, team=struct_of(code=TEXT)),
     reason=TEXT,
     isLive=FLAG,
 )
-PLAYER = record(id=LONG, rating=REAL, position=TEXT, country=record(id=LONG))
-PLAYER_STATISTICS = record(minutes=REAL, rating=REAL)
-MANAGERS = record(
-    homeManager=record(id=LONG, name=TEXT, country=record(name=TEXT)),
-    awayManager=record(id=LONG, name=TEXT),
+PLAYER = struct_of(id=LONG, rating=REAL, position=TEXT, country=struct_of(id=LONG))
+PLAYER_STATISTICS = struct_of(minutes=REAL, rating=REAL)
+MANAGERS = struct_of(
+    homeManager=struct_of(id=LONG, name=TEXT, country=struct_of(name=TEXT)),
+    awayManager=struct_of(id=LONG, name=TEXT),
 )
 LINEUPS = {"player": PLAYER, "statistics": PLAYER_STATISTICS}
 RUN_OPTIONS: Mapping[str, Mapping] = {
     "matchday": {"record": MATCH},
     "shotmap": {"record": SHOT},
-    "match_event": {"record": record(id=LONG)},
+    "match_event": {"record": struct_of(id=LONG)},
     "match_incident": {"record": INCIDENT},
     "match_lineups": LINEUPS,
     "match_manager": {"record": MANAGERS},
@@ -258,26 +258,28 @@ def retention_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired_days(spark, target, as_of="2001-08-02", max_age=1000)
 
 
-def _echo(endpoint: str, key: str, headers: Mapping[str, str]) -> tuple[int, str]:
-    """Stands in for the feed: answers by the status letter in front of the key."""
-    status, number = key[0], key[1:]
-    if status == "P":
-        raise ConnectionError(key)
-    agent = headers["User-Agent"]
-    body = f'{{"{endpoint}":[{{"id":{number},"agent":"{agent}"}},{{"id":-{number}}}]}}'
-    return (200 if status == "F" else 404), body
-
-
 def fetch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for all orders, sent to a stand-in for the feed."""
+
+    # Nested, so that it is shipped with the tasks and needs no package on them.
+    def echo(endpoint: str, key: str, headers: Mapping[str, str]) -> tuple[int, str]:
+        """Answers by the status letter in front of the key."""
+        status, number = key[0], key[1:]
+        if status == "P":
+            raise ConnectionError(key)
+        agent = headers["User-Agent"]
+        body = f'{{"{endpoint}":[{{"id":{number},"agent":"{agent}"}},{{"id":-{number}}}]}}'
+        return (200 if status == "F" else 404), body
+
     orders = derived.table(configure(spark), sf_dir, "orders")
     keys = orders.select(
         F.concat("o_orderstatus", F.col("o_orderkey").cast("string")).alias("key"),
         derived.day().alias("ds"),
     )
     replies = fetch_replies(
-        keys, "shotmap", _echo, headers={"User-Agent": "kickflow"}, pause=0, connections=8
+        keys, "shotmap", echo, headers={"User-Agent": "kickflow"}, pause=0, connections=8
     )
-    return endpoints.shotmap(replies, record(id=LONG, agent=TEXT))
+    return endpoints.shotmap(replies, struct_of(id=LONG, agent=TEXT))
 
 
 def file_read(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,14 +8,14 @@ TEXT, FLAG = T.StringType(), T.BooleanType()
 INT, LONG, REAL = T.IntegerType(), T.LongType(), T.DoubleType()
 
 
-def record(**fields: T.DataType) -> T.StructType:
+def struct_of(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-REPLIES = record(endpoint=TEXT, key=TEXT, status_code=INT, body=TEXT, ds=TEXT)
+REPLIES = struct_of(endpoint=TEXT, key=TEXT, status_code=INT, body=TEXT, ds=TEXT)
 
 # Members and fields the feed names, in the feed's order.
-STATISTIC_ITEM = record(
+STATISTIC_ITEM = struct_of(
     name=TEXT,
     home=TEXT,
     away=TEXT,
@@ -27,11 +27,11 @@ STATISTIC_ITEM = record(
     renderType=INT,
     key=TEXT,
 )
-LINEUP_ENTRY = record(shirtNumber=LONG, jerseyNumber=TEXT, position=TEXT, substitute=FLAG)
-BEST_PLAYER = record(
+LINEUP_ENTRY = struct_of(shirtNumber=LONG, jerseyNumber=TEXT, position=TEXT, substitute=FLAG)
+BEST_PLAYER = struct_of(
     value=TEXT,
     label=TEXT,
-    player=record(
+    player=struct_of(
         name=TEXT,
         slug=TEXT,
         shortName=TEXT,
@@ -41,8 +41,8 @@ BEST_PLAYER = record(
         id=LONG,
         marketValueCurrency=TEXT,
         dateOfBirthTimestamp=LONG,
-        fieldTranslations=record(
-            nameTranslation=record(ar=TEXT), shortNameTranslation=record(ar=TEXT)
+        fieldTranslations=struct_of(
+            nameTranslation=struct_of(ar=TEXT), shortNameTranslation=struct_of(ar=TEXT)
         ),
     ),
 )

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from kickflow.operators import endpoints
 from kickflow.queries import QUERIES
-from kickflow.schemas import INT, LONG, REAL, TEXT, record
+from kickflow.schemas import INT, LONG, REAL, TEXT, struct_of
 from kickflow.sources import derived
 from kickflow.sources.replies import for_keys, land, of_endpoint, read_replies
 
 SF_DIR = "/root/testdata/sf0.001"
-SHOT = record(id=INT, xg=REAL, player=record(id=LONG, flag=TEXT))
+SHOT = struct_of(id=INT, xg=REAL, player=struct_of(id=LONG, flag=TEXT))
 
 
 def plan_of(df):
@@ -135,5 +135,5 @@ def test_hot_results_are_whole(spark, hot_dir, name):
 
 def test_long_reply_is_read_whole(spark, replies):
     body = json.dumps({"shotmap": [{"id": n} for n in range(100_000)] + [None]})
-    rows = endpoints.shotmap(replies(("k", 200, body)), record(id=INT))
+    rows = endpoints.shotmap(replies(("k", 200, body)), struct_of(id=INT))
     assert rows.agg(F.count("id"), F.count("*"), F.max("id")).first() == (100_000, 100_001, 99_999)

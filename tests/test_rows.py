@@ -6,9 +6,9 @@ import random
 import pytest
 
 from kickflow.operators import endpoints
-from kickflow.schemas import INT, LONG, REAL, TEXT, record
+from kickflow.schemas import INT, LONG, REAL, TEXT, struct_of
 
-SHOT = record(id=INT, xg=REAL, player=record(id=LONG, flag=TEXT))
+SHOT = struct_of(id=INT, xg=REAL, player=struct_of(id=LONG, flag=TEXT))
 
 ARRAYS = {
     "shotmap": ("shotmap", "match_id"),
@@ -41,44 +41,55 @@ def test_empty_array_gives_no_row(replies, name):
     assert run(name, replies(("k", 200, json.dumps({ARRAYS[name][0]: []})))) == []
 
 
+FAILURES = [
+    (200, "{}", None),
+    (200, '{"MEMBER": null}', None),
+    (200, '{"MEMBER": 5}', None),
+    (200, '{"MEMBER": {"id": 1}}', None),
+    (200, "{bad", None),
+    (200, '{"MEMBER": [{"id": 1}', None),
+    (200, '{"MEMBER": [{"id": 1}]} trailing', None),
+    (200, '[{"MEMBER": [{"id": 1}]}]', None),
+    (200, "{'MEMBER': [{'id': 1}]}", None),
+    (200, "", None),
+    (200, "null", None),
+    (200, None, None),
+    (404, '{"MEMBER": [{"id": 1}]}', 404),
+    (500, None, 500),
+    (None, None, None),
+]
+
+
 @pytest.mark.parametrize("name", ARRAYS)
-@pytest.mark.parametrize(
-    "status, body, code",
-    [
-        (200, "{}", None),
-        (200, '{"MEMBER": null}', None),
-        (200, '{"MEMBER": 5}', None),
-        (200, '{"MEMBER": {"id": 1}}', None),
-        (200, "{bad", None),
-        (200, '{"MEMBER": [{"id": 1}', None),
-        (200, '{"MEMBER": [{"id": 1}]} trailing', None),
-        (200, '[{"MEMBER": [{"id": 1}]}]', None),
-        (200, "{'MEMBER': [{'id': 1}]}", None),
-        (200, "", None),
-        (200, "null", None),
-        (200, None, None),
-        (404, '{"MEMBER": [{"id": 1}]}', 404),
-        (500, None, 500),
-        (None, None, None),
-    ],
-)
-def test_failures_give_one_error_row(replies, name, status, body, code):
+def test_failures_give_one_error_row(replies, name):
     member, key = ARRAYS[name]
-    rows = run(name, replies(("k", status, body and body.replace("MEMBER", member))))
-    assert len(rows) == 1
-    filled = {column: value for column, value in rows[0].items() if value is not None}
-    assert filled.pop("status_code", None) == code
-    assert filled == {key: "k", "ds": "2023-08-02"}
+    frame = replies(
+        *[
+            (str(n), status, body and body.replace("MEMBER", member))
+            for n, (status, body, _) in enumerate(FAILURES)
+        ]
+    )
+    rows = run(name, frame)
+    assert len(rows) == len(FAILURES)
+    for row in rows:
+        filled = {column: value for column, value in row.items() if value is not None}
+        wanted = {key: row[key], "ds": "2023-08-02", "status_code": FAILURES[int(row[key])][2]}
+        assert filled == {column: value for column, value in wanted.items() if value is not None}
 
 
-@pytest.mark.parametrize("bad", ["null", "5", '"x"', "[1]", "true"])
 @pytest.mark.parametrize("name", ARRAYS)
-def test_bad_element_cuts_the_reply(replies, name, bad):
-    body = f'{{"{ARRAYS[name][0]}": [{{"id": 1}}, {{"id": 2}}, {bad}, {{"id": 4}}]}}'
-    rows = run(name, replies(("k", 200, body)))
-    assert [(r["id"], r["status_code"]) for r in rows] == [(1, 200), (2, 200), (None, None)]
-    rows = run(name, replies(("k", 200, body)), on_bad="skip")
-    assert [r["id"] for r in rows] == [1, 2, 4]
+def test_bad_element_cuts_the_reply(replies, name):
+    bads = ["null", "5", '"x"', "[1]", "true"]
+    frame = replies(
+        *[
+            (bad, 200, f'{{"{ARRAYS[name][0]}": [{{"id": 1}}, {{"id": 2}}, {bad}, {{"id": 4}}]}}')
+            for bad in bads
+        ]
+    )
+    rows = run(name, frame)
+    assert [(r["id"], r["status_code"]) for r in rows] == [(1, 200), (2, 200), (None, None)] * 5
+    rows = run(name, frame, on_bad="skip")
+    assert [r["id"] for r in rows] == [1, 2, 4] * 5
 
 
 def test_unknown_policy(replies):
@@ -96,7 +107,7 @@ def test_event_ids(replies):
 
 
 def test_carried_columns_win_over_record_fields(replies):
-    shape = record(id=INT, status_code=INT, match_id=LONG)
+    shape = struct_of(id=INT, status_code=INT, match_id=LONG)
     body = '{"shotmap": [{"id": 1, "status_code": 5, "match_id": 9}]}'
     row = endpoints.shotmap(replies(("k", 200, body)), shape).first()
     assert (row.id, row.status_code, row.match_id) == (1, 200, "k")
@@ -148,10 +159,10 @@ def test_matchday(replies):
         category = {"sport": {"name": sport}} if sport else None
         return {"id": number, "customId": f"c{number}", "tournament": {"category": category}}
 
-    shape = record(
+    shape = struct_of(
         id=LONG,
         customId=TEXT,
-        tournament=record(category=record(sport=record(name=TEXT))),
+        tournament=struct_of(category=struct_of(sport=struct_of(name=TEXT))),
     )
     events = [match(1, "Football"), None, match(2, "Tennis"), match(3, None), match(4, "Football")]
     frame = replies(
@@ -165,13 +176,13 @@ def test_matchday(replies):
     assert [(r.match_id, r.customId) for r in rows.collect()] == [("1", "c1"), ("4", "c4")]
     assert dict(rows.dtypes)["match_id"] == "string"
     assert [r.match_id for r in endpoints.matchday(frame, shape, "Tennis").collect()] == ["2"]
-    assert endpoints.matchday(frame, record(id=LONG)).count() == 0
+    assert endpoints.matchday(frame, struct_of(id=LONG)).count() == 0
     reasons = [row.reason for row in endpoints.matchday_audit(frame).collect()]
     assert reasons == [None, "status 404", "unreadable body", "unreadable body", "request failed"]
 
 
 def test_manager(replies):
-    shape = record(homeManager=record(id=LONG, name=TEXT), awayManager=record(id=LONG))
+    shape = struct_of(homeManager=struct_of(id=LONG, name=TEXT), awayManager=struct_of(id=LONG))
     rows = endpoints.match_manager(
         replies(
             ("a", 200, '{"homeManager": {"id": 1, "name": "n"}, "awayManager": null}'),
@@ -233,8 +244,8 @@ def test_summary(replies, body, wanted):
     assert [r.status_code for r in rows.collect()] == [200 if w[0] else None for w in wanted]
 
 
-PLAYER = record(id=LONG, rating=REAL, position=TEXT, home=record(x=LONG), extra=TEXT)
-STATISTICS = record(rating=REAL, minutes=LONG, home=record(x=LONG, y=LONG))
+PLAYER = struct_of(id=LONG, rating=REAL, position=TEXT, home=struct_of(x=LONG), extra=TEXT)
+STATISTICS = struct_of(rating=REAL, minutes=LONG, home=struct_of(x=LONG, y=LONG))
 
 
 def entry(player=None, statistics=None, **more):
@@ -272,24 +283,69 @@ def test_lineups_merge(replies):
     assert {r.status_code for r in rows} == {200}
 
 
-@pytest.mark.parametrize(
-    "bad",
-    [
-        None,
-        5,
-        entry(statistics="absent"),
-        entry(statistics=[]),
-        entry(player={}) | {"player": None},
-        entry(shirtNumber="absent"),
-        entry(jerseyNumber="absent"),
-        entry(position="absent"),
-        entry(substitute="absent"),
-    ],
-)
-def test_lineups_bad_entry(replies, bad):
-    rows = lineups(replies, entry(), bad, entry())
-    assert [(r.id, r.status_code) for r in rows] == [(1, 200), (None, None)]
-    assert len(lineups(replies, entry(), bad, entry(), on_bad="skip")) == 2
+BAD_ENTRIES = [
+    None,
+    5,
+    entry(statistics="absent"),
+    entry(statistics=[]),
+    entry() | {"player": None},
+    entry() | {"statistics": None},
+    entry(shirtNumber="absent"),
+    entry(jerseyNumber="absent"),
+    entry(position="absent"),
+    entry(substitute="absent"),
+]
+
+
+def test_lineups_bad_entry(replies):
+    frame = replies(
+        *[
+            (str(n), 200, json.dumps({"home": {"players": [entry(), bad, entry()]}}))
+            for n, bad in enumerate(BAD_ENTRIES)
+        ]
+    )
+    rows = endpoints.match_lineups(frame, PLAYER, STATISTICS).collect()
+    wanted = [(str(n), *row) for n in range(len(BAD_ENTRIES)) for row in [(1, 200), (None, None)]]
+    assert [(r.match_id, r.id, r.status_code) for r in rows] == wanted
+    rows = endpoints.match_lineups(frame, PLAYER, STATISTICS, on_bad="skip").collect()
+    assert [(r.id, r.status_code) for r in rows] == [(1, 200)] * 2 * len(BAD_ENTRIES)
+
+
+def test_random_lineups(replies):
+    """Merging in one job, against plain dictionaries."""
+    dice = random.Random(11)
+    names = ["rating", "minutes", "home", "position", "extra"]
+    values = {
+        "rating": [None, 1.5, 2.5], "minutes": [None, 90], "position": [None, "G"],
+        "extra": [None, "e"], "home": [None, {}, {"x": 1}, {"y": 2}, {"x": 3, "y": None}],
+    }
+
+    def some(allowed):
+        return {n: dice.choice(values[n]) for n in allowed if dice.random() < 0.6}
+
+    cases, wanted = [], {}
+    for n in range(300):
+        players = []
+        for _ in range(dice.randint(0, 4)):
+            player = some(["rating", "position", "extra"]) | {"id": dice.choice([None, 3])}
+            if dice.random() < 0.5:
+                player["home"] = dice.choice([None, {}, {"x": 8}])
+            players.append(entry() | {"player": player, "statistics": some(names[:3])})
+        cases.append((str(n), 200, json.dumps({"home": {"players": players}})))
+        wanted[str(n)] = []
+        for e in players:
+            merged = e["player"] | e["statistics"] | {k: e[k] for k in ("shirtNumber", "position")}
+            home = merged.get("home") or {}
+            wanted[str(n)].append(
+                (merged["id"], merged.get("rating"), merged.get("minutes"), home.get("x"),
+                 home.get("y"), merged["position"], merged.get("extra"), merged["shirtNumber"])
+            )
+    got = {key: [] for key in wanted}
+    for r in endpoints.match_lineups(replies(*cases), PLAYER, STATISTICS).collect():
+        got[r.match_id].append(
+            (r.id, r.rating, r.minutes, r.home_x, r.home_y, r.position, r.extra, r.shirtNumber)
+        )
+    assert got == wanted
 
 
 def test_lineups_sides(replies):
@@ -297,11 +353,6 @@ def test_lineups_sides(replies):
     assert [r.team for r in rows] == ["home", "home", "away"]
 
 
-def test_lineups_null_statistics(replies):
-    rows = lineups(replies, entry(), entry() | {"statistics": None})
-    assert [r.status_code for r in rows] == [200, None]
-
-
 def item(**more):
     whole = {
         "name": "n", "home": "1", "away": 2, "compareCode": 1, "statisticsType": "t",

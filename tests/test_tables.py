@@ -7,10 +7,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from kickflow.operators import endpoints
-from kickflow.plans.daily import TABLES, run_days
+from kickflow.plans.daily import TABLES, crawl_days, run_day, run_days
 from kickflow.plans.job import DONE, SKIPPED, EmptyInput, JobConfig, run_job
 from kickflow.plans.retention import expire, expired_days
-from kickflow.schemas import INT, LONG, REPLIES, TEXT, record
+from kickflow.schemas import INT, LONG, REPLIES, TEXT, struct_of
 from kickflow.session import checkpointed, shared_folder
 from kickflow.sinks import jdbc
 from kickflow.sinks.tables import (
@@ -179,7 +179,7 @@ def test_job_steps_and_empty_input(spark, tmp_path):
         return run_job(
             config,
             read,
-            lambda df: endpoints.shotmap(df, record(id=INT)),
+            lambda df: endpoints.shotmap(df, struct_of(id=INT)),
             lambda df: steps.append([row.id for row in df.collect()]),
             before_read=lambda: steps.append("before_read"),
             before_export=lambda df: steps.append(df.columns),
@@ -206,7 +206,7 @@ def test_lookup(spark, replies):
     keys = spark.createDataFrame(
         [("1", D2), ("1", D2), ("2", D2), ("3", D2), ("9", D3), (None, D2)], "key STRING, ds STRING"
     )
-    rows = endpoints.shotmap(for_keys(frame, keys), record(id=INT)).collect()
+    rows = endpoints.shotmap(for_keys(frame, keys), struct_of(id=INT)).collect()
     got = sorted(((r.match_id, r.ds, r.id, r.status_code) for r in rows), key=repr)
     assert got == sorted(
         [("1", D2, 1, 200), ("1", D2, 2, 200)] * 2
@@ -241,7 +241,7 @@ def test_fetch(spark):
     keys = spark.createDataFrame([("a", D1), ("broken", D1), ("x", D2)], "key STRING, ds STRING")
     got = fetch_replies(keys, "shotmap", fetch, {"User-Agent": "ua"}, pause=0.01, connections=2)
     assert got.schema == REPLIES
-    rows = endpoints.shotmap(got, record(id=LONG, agent=TEXT)).collect()
+    rows = endpoints.shotmap(got, struct_of(id=LONG, agent=TEXT)).collect()
     assert sorted((r.match_id, r.ds, r.status_code, r.agent) for r in rows if r.status_code) == [
         ("a", D1, 403, None),
         ("x", D2, 200, "ua"),
@@ -315,12 +315,45 @@ def test_run_days(spark, database, write, tmp_path):
         run_days(raw, database, D1, D1, write="merge")
 
 
+def test_crawl(spark, database, tmp_path):
+    """A whole crawl from a stand-in feed, done twice."""
+
+    lists = {ds: {"events": [match(int(ds[-2:])), match(50, "Tennis")]} for ds in (D1, D3)}
+    details = {(name, str(n)): body for n in (1, 3) for name, _, _, body, _ in feed(n, "")}
+
+    def fetch(endpoint, key, headers):
+        if endpoint == "matchday":
+            return (200, json.dumps(lists[key])) if key in lists else (503, "busy")
+        if endpoint == "match_event":
+            return 200, json.dumps({"events": [{"id": 1}, {"id": 2}]})
+        if endpoint == "match_manager":
+            raise TimeoutError
+        return 200, details[endpoint, key]
+
+    manager = {"match_manager": {"record": struct_of(homeManager=struct_of(id=LONG))}}
+    for _ in range(2):
+        audit = crawl_days(
+            spark, fetch, str(tmp_path / "landing"), database, D1, D3, {"User-Agent": "ua"},
+            pause=0, connections=2, options=manager,
+        )
+    counts = {(r.table_name, r.ds): (r.rows, r.reason) for r in audit.collect()}
+    assert counts["matchday", D2] == (0, "status 503")
+    for ds in (D1, D3):
+        assert {name: counts[name, ds][0] for name in TABLES if (name, ds) in counts} == {
+            "matchday": 1, "shotmap": 2, "match_event": 2, "match_incident": 1,
+            "match_lineups": 1, "match_manager": 1, "match_summary": 1,
+        }
+    assert spark.table(f"{database}.match_manager").where("status_code IS NULL").count() == 2
+    one = run_day(read_replies(spark, str(tmp_path / "landing")), database, D1, options=manager)
+    assert {row.ds for row in one.collect()} == {D1}
+
+
 def test_incremental(spark, database, target, tmp_path):
     landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
     batches = []
 
     def build(df):
-        rows = endpoints.shotmap(df, record(id=INT))
+        rows = endpoints.shotmap(df, struct_of(id=INT))
         batches.append(rows.count())
         return rows
 
