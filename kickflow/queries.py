@@ -16,7 +16,7 @@ from kickflow.plans.daily import run_days
 from kickflow.plans.job import JobConfig, run_job
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import FLAG, INT, LONG, REAL, REPLIES, TEXT, struct_of
-from kickflow.session import configure, shared_folder
+from kickflow.session import checkpointed, configure, shared_folder
 from kickflow.sinks.tables import (
     append,
     create_database,
@@ -143,7 +143,7 @@ def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shots of the day's football matches; replies of failed requests were never landed."""
     configure(spark)
     matches = endpoints.matchday(derived.matchday_replies(spark, sf_dir), MATCH)
-    keys = matches.select(F.col("match_id").alias("key"), "ds")
+    keys = checkpointed(matches.select(F.col("match_id").alias("key"), "ds"))
     landed = of_endpoint(derived.shotmap_replies(spark, sf_dir), "shotmap")
     return endpoints.shotmap(for_keys(landed.where("status_code IS NOT NULL"), keys), SHOT)
 
