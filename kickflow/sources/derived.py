@@ -70,6 +70,16 @@ def dealt(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     )
 
 
+def collected(rows: DataFrame, key: str, record: Column) -> DataFrame:
+    """Arrays of records per key and page.
+
+    Rows are shuffled as they are: collecting them before as well would not make
+    them any smaller, and would sort them once more.
+    """
+    together = rows.repartition(key, "page").groupBy(key, "page")
+    return together.agg(F.collect_list(record).alias("records"))
+
+
 def with_records(
     parents: DataFrame, key: str, children: DataFrame, child_key: str, record: Column
 ) -> DataFrame:
@@ -81,12 +91,8 @@ def with_records(
     are estimated to be.
     """
     hot = hot_keys(children, child_key)
-    filled = (
-        dealt(children, child_key, hot)
-        .groupBy(child_key, "page")
-        .agg(F.collect_list(record).alias("records"))
-        .withColumnRenamed(child_key, key)
-    )
+    filled = collected(dealt(children, child_key, hot), child_key, record)
+    filled = filled.withColumnRenamed(child_key, key)
     slots = parents.join(hot.withColumnRenamed(child_key, key), key, "left").withColumn(
         "page", F.explode(F.sequence(F.lit(0), F.coalesce("pages", F.lit(1)) - 1))
     )
@@ -464,10 +470,8 @@ def matchday_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
     played = dealt(orders, "ds", hot_keys(orders, "ds")).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )
-    listed = (
-        played.groupBy("ds", "page")
-        .agg(F.collect_list(event).alias("records"))
-        .withColumn("whole", F.to_json(F.struct(F.col("records").alias("events"))))
+    listed = collected(played, "ds", event).withColumn(
+        "whole", F.to_json(F.struct(F.col("records").alias("events")))
     )
     status = F.when(F.col("ds") == CLOSED_DAY, 404).when(F.col("ds") != FAILED_DAY, 200)
     body = F.when(F.col("ds") == TRUNCATED_DAY, truncated(F.col("whole")))
