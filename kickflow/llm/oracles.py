@@ -1,6 +1,44 @@
 """DuckDB SQL for those corpus queries that SQL can express."""
 
 ORACLES = {
+    "op3_warc": """
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ),
+        firsts AS (
+            SELECT *, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+                   min(page_id) OVER (PARTITION BY payload) AS first_id
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id
+                    THEN first_id END AS refers_to
+        FROM firsts
+    """,
+    # Here ids are unique and tables small enough for the first 32 bits, those of the id.
+    "op4_sharding": """
+        WITH hashed AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+                   ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::UBIGINT AS hash
+            FROM documents
+        ),
+        levels AS (
+            SELECT doc_id, n_bytes, depth, hash >> (32 - depth) AS prefix, hash
+            FROM hashed, (SELECT unnest(range(0, 13)) AS depth)
+        ),
+        sums AS (
+            SELECT *, sum(n_bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_rows
+            FROM levels WINDOW w AS (PARTITION BY depth, prefix)
+        )
+        SELECT doc_id, n_bytes,
+               substr(lpad(bin(hash), 32, '0'), 1, min(depth)) AS shard,
+               CAST(arg_min(shard_bytes, depth) AS BIGINT) AS shard_bytes,
+               arg_min(shard_rows, depth) AS shard_rows
+        FROM sums WHERE shard_bytes <= 16777216
+        GROUP BY doc_id, n_bytes, hash
+    """,
     "op6_exact_duplicates": r"""
         WITH texts AS (
             SELECT doc_id,

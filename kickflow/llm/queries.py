@@ -6,9 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from kickflow.llm import bpe, decontamination, exact_dedup, near_dedup, toxicity
+from kickflow.llm import (
+    bpe,
+    cotraining,
+    decontamination,
+    exact_dedup,
+    near_dedup,
+    sharding,
+    toxicity,
+    url_filter,
+    warc,
+)
+from kickflow.session import shared_folder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +52,50 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    found = warc.read_warc(spark, path).select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
+    # A revisit has no payload of its own: its size and digest are those of its response.
+    responses = found.where("record_type = 'response'").select(
+        F.col("page_id").alias("r"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d")
+    )
+    revisits = found.where("record_type = 'revisit'")
+    pairs = revisits.join(responses, revisits["refers_to"] == responses["r"])
+    return found.where("record_type = 'response'").unionByName(
+        pairs.select(
+            "page_id",
+            F.col("b").alias("payload_bytes"),
+            F.col("d").alias("payload_digest"),
+            "record_type",
+            "refers_to",
+        )
+    )
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    found = cotraining.quality(
+        table(spark, sf_dir, "documents"), labels.where(~held_out(F.col("doc_id")))
+    )
+    return found.withColumns(
+        {
+            "held_out": held_out(F.col("doc_id")),
+            "predicted": (F.col("score") >= cotraining.THRESHOLD).cast("int"),
+        }
+    )
+
+
 def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     digest = F.lower(F.hex("digest")).alias("text_sha256")
@@ -53,6 +114,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -73,8 +138,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op3_warc": op3_warc,
+    "op4_sharding": op4_sharding,
+    "op5_quality": op5_quality,
     "op6_exact_duplicates": op6_exact_duplicates,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
 }
