@@ -33,13 +33,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the texts of one have some megabytes (or are a single text)."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of one have at most ``most`` bytes (or are a single text)."""
     for batch in batches:
         sizes = np.diff(_offsets(batch.column(text)))
         start = held = 0
         for i, size in enumerate(sizes.tolist()):
-            if held and held + size > BATCH_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size

@@ -13,6 +13,7 @@ from kickflow.llm import (
     exact_dedup,
     near_dedup,
     sharding,
+    suffix_dedup,
     toxicity,
     url_filter,
     warc,
@@ -52,6 +53,17 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -138,6 +150,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_repeated_strings": op2_repeated_strings,
     "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
