@@ -1,0 +1,80 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kickflow.llm import bpe
+from kickflow.llm.queries import QUERIES, RANKS
+
+PATH = public_tokenizers.path(RANKS)
+RANK_LIST = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANK_LIST, special_tokens={})
+CODER = bpe.Coder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+
+
+def wanted(text):
+    return np.array(LIBRARY.encode_ordinary(text), "<u4").tobytes()
+
+
+def test_query_against_the_library(spark):
+    path = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in QUERIES["op7_byte_bpe"](spark, path).collect()}
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    assert len(found) == len(docs)
+    for doc in docs:
+        text, row = doc.text or "", found[doc.doc_id]
+        ids = wanted(text)
+        assert row.n_tokens == len(ids) // 4
+        assert row.ids_sha256 == hashlib.sha256(ids).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=60), max_size=6))
+def test_any_text(texts):
+    for text, ids in zip(texts, CODER.encode(texts), strict=True):
+        assert ids == wanted(text)
+        assert CODER.decode(ids) == text.encode()
+
+
+def test_long_pieces(monkeypatch):
+    random.seed(1)
+    texts = ["".join(random.choice("abcdeéß中") for _ in range(n)) for n in (33, 64, 65, 1000, 1025, 5000)]
+    texts += ["a" * 3000, " " * 2000, "the" * 700, "=" * 1500]
+    for limit in (16, 1024, 4096):
+        monkeypatch.setattr(bpe, "LONGEST_ROW", limit)
+        CODER.known = {}
+        assert CODER.encode(texts) == [wanted(t) for t in texts]
+
+
+def test_frames(documents):
+    rows = [(1, "a b"), (1, "a b"), (None, None), (2, ""), (3, "x" * 200_000), (4, "\x00\x1c \u0085\n")]
+    docs = documents(*rows).withColumnRenamed("found", "token_ids")
+    coded = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
+    assert coded.columns == [c for c in docs.columns if c != "token_ids"] + ["n_tokens", "token_ids"]
+    for r in bpe.decode(coded, PATH).collect():
+        assert bytes(r.token_ids) == wanted(r.text or "")
+        assert bytes(r.decoded) == (r.text or "").encode()
+        assert r.n_tokens == len(r.token_ids) // 4
+    assert bpe.encode(docs.where("false"), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_pair_table():
+    rng = np.random.default_rng(0)
+    pairs = {int(k): int(v) for k, v in zip(rng.integers(0, 2**31, 5000), rng.integers(0, 60000, 5000), strict=True)}
+    table = bpe.PairTable(pairs)
+    keys = np.append(np.fromiter(pairs, np.int64), rng.integers(0, 2**31, 5000))
+    found = table(keys >> 16, keys & 0xFFFF)
+    for key, rank in zip(keys.tolist(), found.tolist(), strict=True):
+        assert rank == (pairs.get(key, bpe.NO_PAIR) if key & 0xFFFF != bpe.PAD and key >> 16 != bpe.PAD else bpe.NO_PAIR)
+
+
+def test_ranks_out_of_range():
+    with pytest.raises(ValueError, match="65535"):
+        bpe.Coder({bytes([i]): i for i in range(256)} | {b"ab": 70_000}, ".")

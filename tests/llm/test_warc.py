@@ -1,0 +1,99 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from kickflow.llm import warc
+
+NESTED = "before WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nafter" + "z" * 200
+ROWS = [
+    (5, "http://a/", "<p>é</p>" * 30), (3, "http://b/", "<p>é</p>" * 30), (9, None, "<p>é</p>" * 30),
+    (4, "http://c/\r\nWARC/1.1\r\nx", "short"), (2, "http://d/", "short"), (1, "u", None), (6, "u", ""),
+    (7, "u", NESTED), (8, "u", NESTED), (10, "u", "WARC/1.1\r\n" * 40), (11, "u", "\r\n\r\nWARC/1.1\r\n"),
+    (None, "u", "<p>é</p>" * 30), (12, "u", "w" * 300_000), (3, "http://b/", "<p>é</p>" * 30),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    def make(rows, parts=3):
+        schema = "page_id long, url string, html string, digest string, bytes int, same string"
+        return spark.createDataFrame([(*r, "x", 1, "x") for r in rows], schema).repartition(parts)
+
+    return make
+
+
+def expected(rows):
+    out = []
+    for id, url, html in rows:
+        data = (html or "").encode()
+        ids = [j for j, _, h in rows if (h or "").encode() == data and j is not None]
+        first = min(ids, default=None)
+        revisit = len(data) >= 100 and id != first
+        out.append((id, "revisit" if revisit else "response", first if revisit else None, hashlib.sha256(data).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("split", ["5k", "128m"])
+def test_round_trip(spark, pages, tmp_path, split):
+    path = str(tmp_path / "warc")
+    warc.write_warc(pages(ROWS), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        records = warc.read_warc(spark, path)
+        found = records.select(
+            warc.page_id("record_id").alias("id"), "record_type",
+            warc.page_id("refers_to").alias("first"), F.substring("declared", 8, 64).alias("digest"),
+            "payload_bytes", "payload_digest", "file", "offset", "target_uri",
+        ).collect()
+        assert sorted(((r.id, r.record_type, r.first, r.digest) for r in found), key=repr) == expected(ROWS)
+        payloads = {(r.file, r.offset): bytes(r.payload) for r in warc.payloads(spark, path, records).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    html = {id: (text or "").encode() for id, _, text in ROWS}
+    for r in found:
+        wanted = html[r.id] if r.record_type == "response" else b""
+        assert payloads[r.file, r.offset] == wanted
+        assert (r.payload_bytes, r.payload_digest) == (len(wanted), hashlib.sha256(wanted).hexdigest())
+    urls = {r.id: r.target_uri for r in found}
+    assert urls[4] == "http://c/%0D%0AWARC/1.1%0D%0Ax"
+    assert urls[9] is None
+
+
+def test_the_archives_are_warc(pages, tmp_path):
+    """By an independent sequential reading of the format."""
+    path = tmp_path / "warc"
+    warc.write_warc(pages(ROWS, 1), str(path))
+    data = b"".join(p.read_bytes() for p in path.glob("part-*"))
+    at = n = 0
+    while at < len(data):
+        assert data.startswith(b"WARC/1.1\r\n", at)
+        end = data.index(b"\r\n\r\n", at)
+        length = next(int(x.split(b":")[1]) for x in data[at:end].split(b"\r\n") if x.startswith(b"Content-Length"))
+        at = end + 4 + length
+        assert data[at : at + 4] == b"\r\n\r\n"
+        at, n = at + 4, n + 1
+    assert n == len(ROWS)
+
+
+def test_damaged_archives(spark, pages, tmp_path):
+    """What the chain from the file's start does not reach is rejected."""
+    path = tmp_path / "warc"
+    warc.write_warc(pages(ROWS[:6], 1), str(path))
+    (file,) = path.glob("part-*")
+    whole = file.read_bytes()
+    folder = tmp_path / "damaged"
+    folder.mkdir()
+    (folder / "junk.warc").write_bytes(b"junk" + whole)
+    (folder / "cut.warc").write_bytes(whole[:-10])
+    (folder / "empty.warc").write_bytes(b"")
+    found = warc.read_warc(spark, str(folder)).collect()
+    assert len(found) == 5
+    assert all(r.file.endswith("cut.warc") for r in found)
+
+
+def test_empty_table(spark, pages, tmp_path):
+    path = str(tmp_path / "warc")
+    warc.write_warc(pages(ROWS).where("false"), path)
+    assert warc.read_warc(spark, path).count() == 0
