@@ -39,7 +39,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     A document with several labels counts once, with the highest.
     """
     labels = labels.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).alias("label"))
-    labels = labels.where("label IS NOT NULL")
+    # The labels are as many as the documents in the end; a broadcast would only suit small ones.
+    labels = labels.where("label IS NOT NULL").hint("merge")
     return docs.select("doc_id", "text").join(labels, "doc_id").select(
         F.col("doc_id").alias("id"), "text", "label"
     )
