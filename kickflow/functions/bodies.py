@@ -62,11 +62,14 @@ def has_object(value: Column, *names: str) -> Column:
 
 
 def infer_record(values: DataFrame, column: str) -> T.StructType:
-    """Union of all fields seen in a variant column; one aggregation, one row back."""
+    """Union of all fields seen in a variant column; one aggregation, one row back.
+
+    Without any object there are no fields.
+    """
     objects = values.where(has_object(F.col(column)))
     seen = objects.agg(F.schema_of_variant_agg(column)).first()[0]
     if not seen or not seen.startswith("OBJECT"):
-        raise ValueError("no JSON object to infer a record from")
+        return T.StructType([])
     quoted = re.split(r"(`(?:[^`]|``)*`)", seen)
     quoted[::2] = [part.replace("OBJECT<", "STRUCT<") for part in quoted[::2]]
     return _plain(T.DataType.fromDDL("".join(quoted)))

@@ -79,6 +79,29 @@ def fill_text_nulls(df: DataFrame) -> DataFrame:
     return df.na.fill("null")
 
 
-def project_like(df: DataFrame, table: str) -> DataFrame:
-    """The target table's columns in its order; a missing column is an error."""
-    return df.select(*[quoted(name) for name in df.sparkSession.table(table).columns])
+def project_like(
+    df: DataFrame, table: str, extra: str = "raise", residue: str | None = None
+) -> DataFrame:
+    """The target table's columns in its order; one that ``df`` lacks is NULL.
+
+    Columns that the table lacks go into its VARIANT column ``residue`` if it has one, as
+    members of an object. Else they are an error, or are left out with ``extra="drop"``.
+    """
+    if extra not in ("raise", "drop"):
+        raise ValueError("extra must be 'raise' or 'drop'")
+    schema = df.sparkSession.table(table).schema
+    held = {name.lower() for name in schema.names}
+    own = {name.lower() for name in df.columns}
+    new = [name for name in df.columns if name.lower() not in held]
+    packed = residue is not None and residue in schema.names and residue not in df.columns
+    if new and not packed and extra == "raise":
+        raise ValueError(f"{table} has no column for {', '.join(new)}")
+
+    def value(field: T.StructField) -> Column:
+        if packed and new and field.name == residue:
+            return F.to_variant_object(F.struct(*[F.col(quoted(name)) for name in new]))
+        if field.name.lower() in own:
+            return F.col(quoted(field.name))
+        return F.lit(None).cast(field.dataType)
+
+    return df.select(*[value(field).alias(field.name) for field in schema])

@@ -46,6 +46,8 @@ def matchday(
         "ds", F.explode(items(F.col("body"), ["events"], record)).alias("record")
     )
     flat = expand(events, "record", keep=["ds"]).withColumnRenamed("id", "match_id")
+    missing = [name for name in ("match_id", "customId") if name not in flat.columns]
+    flat = flat.withColumns({name: F.lit(None).cast("string") for name in missing})
     flat = flat.withColumn("match_id", F.col("match_id").cast("string"))
     if "tournament_category_sport_name" not in flat.columns:
         return flat.where(F.lit(False))
@@ -219,22 +221,23 @@ def _typed_players(
 ) -> Column:
     """Players of a side; one is NULL if its values do not say what overwrites what.
 
-    That is so where a value is NULL: it may be null or absent, which differs for
-    the line-up fields and for a field that only the player has a value for.
+    That is so where a line-up field is NULL: it may be null, or absent, which is an
+    error. The statistics are kept as a variant, which tells the two apart, so that a
+    field that only some players have needs no second reading of the reply.
     """
-    entry = T.StructType([*struct_of(player=player, statistics=statistics), *LINEUP_ENTRY])
+    loose = T.StructType().add("statistics", T.VariantType())
+    entry = T.StructType([*struct_of(player=player), *loose, *LINEUP_ENTRY])
 
     def row(e: Column) -> Column:
         clear = reduce(
             lambda ok, name: ok & e[name].isNotNull(),
             LINEUP_ENTRY.names,
-            e.player.isNotNull() & e.statistics.isNotNull(),
+            e.player.isNotNull() & F.try_variant_get(e.statistics, "$", "struct<>").isNotNull(),
         )
-        for name in shared:
-            clear = clear & (e.statistics[name].isNotNull() | e.player[name].isNull())
         place = F.struct(*[e[name].alias(name) for name in LINEUP_ENTRY.names])
-        shown = {name: e.statistics[name].isNotNull() for name in shared}
-        return F.when(clear, _player_row(e.player, e.statistics, place, shown, side))
+        shown = {name: has(e.statistics, name) for name in shared}
+        values = F.try_variant_get(e.statistics, "$", ddl(statistics))
+        return F.when(clear, _player_row(e.player, values, place, shown, side))
 
     return F.transform(member(body, [side, "players"], T.ArrayType(entry)), row)
 

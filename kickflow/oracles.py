@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 _DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+_WEEK = "strftime(date_trunc('week', o_orderdate), '%Y-%m-%d')"
 _MONTH = "strftime(date_trunc('month', o_orderdate), '%Y-%m-%d')"
 
 
@@ -11,7 +12,7 @@ def _matches(ds: str = _DAY) -> str:
     return f"""
     m AS (
       SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS match_id, {ds} AS ds,
-             o_orderpriority, o_custkey,
+             o_orderpriority, o_custkey, o_orderstatus,
              o_orderstatus = 'F' AND o_totalprice >= 20000 AS ok,
              CAST(CASE WHEN o_orderstatus = 'O' THEN 404 END AS INTEGER) AS error_status,
              coalesce(n, 0) AS n, coalesce(home, 0) AS home, coalesce(away, 0) AS away,
@@ -91,7 +92,9 @@ def _statistics(errors: str) -> str:
 
 
 _SEGMENT = "CASE c_mktsegment WHEN 'BUILDING' THEN 'Football' ELSE c_mktsegment END"
-_NO_LIST = "('1998-01-01', '1999-12-01', '2000-02-01')"
+_NO_LIST = (
+    "('1998-01-01', '1999-12-01', '2000-02-01', '1997-12-29', '1999-11-29', '2000-01-31')"
+)
 
 
 def _football(ds: str = _DAY) -> str:
@@ -103,28 +106,9 @@ def _football(ds: str = _DAY) -> str:
 
 
 _REASON = """
-    CASE ds WHEN '1998-01-01' THEN 'status 404' WHEN '1999-12-01' THEN 'unreadable body'
-            WHEN '2000-02-01' THEN 'request failed' END"""
-
-_AUDIT = f"""
-    WITH {_matches(_MONTH)}, {_football(_MONTH)},
-    k AS (
-      SELECT m.*, c_acctbal FROM f JOIN m ON f.o_orderkey = m.o_orderkey
-    ),
-    counted AS (
-      SELECT ds, 'matchday' AS table_name, 1 AS n_rows FROM k
-      UNION ALL SELECT ds, 'match_event', 1 FROM k
-      UNION ALL SELECT ds, 'match_manager', 1 FROM k
-      UNION ALL SELECT ds, 'shotmap', CASE WHEN {_ERROR} THEN 1 ELSE n END FROM k
-      UNION ALL SELECT ds, 'match_incident', CASE WHEN {_ERROR} THEN 1 ELSE n END FROM k
-      UNION ALL SELECT ds, 'match_statistics', CASE WHEN {_ERROR} THEN 1 ELSE n END FROM k
-      UNION ALL SELECT ds, 'match_lineups', CASE WHEN {_ERROR} THEN 1 ELSE home END FROM k
-      UNION ALL SELECT ds, 'match_summary',
-        CASE WHEN {_ERROR} THEN 1 WHEN n > 0 AND away = 0 THEN n + 1 ELSE n END FROM k
-    ),
-    failed AS (
-      SELECT DISTINCT ds, {_REASON} AS reason FROM m WHERE ds IN {_NO_LIST}
-    )"""
+    CASE WHEN ds IN ('1998-01-01', '1997-12-29') THEN 'status 404'
+         WHEN ds IN ('1999-12-01', '1999-11-29') THEN 'unreadable body'
+         WHEN ds IN ('2000-02-01', '2000-01-31') THEN 'request failed' END"""
 
 ORACLES: dict[str, str] = {
     "matchday_football": f"""
@@ -136,12 +120,26 @@ ORACLES: dict[str, str] = {
     FROM f
     """,
     "matchday_audit": f"""
-    SELECT ds, CAST(CASE ds WHEN '1998-01-01' THEN 404 WHEN '2000-02-01' THEN NULL ELSE 200 END
-                    AS INTEGER) AS status_code, {_REASON} AS reason
+    SELECT ds, CAST(CASE WHEN ds IN ('1998-01-01', '1997-12-29') THEN 404
+                        WHEN ds NOT IN ('2000-02-01', '2000-01-31') THEN 200 END AS INTEGER) AS status_code, {_REASON} AS reason
     FROM (SELECT DISTINCT {_DAY} AS ds FROM orders)
     """,
     "shotmap": _shotmap(),
     "shotmap_inferred": _shotmap(id_type="BIGINT"),
+    "failures_inferred": f"""
+    WITH {_matches()}
+    SELECT match_id, error_status AS status_code, ds FROM m WHERE o_orderstatus <> 'F'
+    """,
+    "append_drift": f"""
+    SELECT o_orderkey,
+           CASE WHEN {_MONTH} NOT BETWEEN '1997-01-01' AND '1998-12-31' THEN o_totalprice END
+             AS o_totalprice,
+           CASE WHEN {_MONTH} >= '1999-01-01'
+                THEN '{{"o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority
+                     || '"}}' END AS more,
+           {_MONTH} AS ds
+    FROM orders
+    """,
     "match_event": """
     SELECT o_orderkey AS id, o_orderstatus AS status_type, o_totalprice AS "homeScore_current",
            CAST(epoch(o_orderdate) AS BIGINT) AS "startTimestamp",
@@ -244,24 +242,10 @@ ORACLES: dict[str, str] = {
     FROM (SELECT *, {_MONTH} AS ds FROM orders)
     WHERE ds <> '1997-04-01' AND (ds NOT LIKE '1998%' OR o_orderpriority = '1-URGENT')
     """,
-    "list_tables": """
-    SELECT unnest(['orders', 'customer', 'nation']) AS table_name
-    """,
     "column_list": """
     SELECT unnest(['id', 'incidentType', 'isLive', 'player_id', 'player_team_code', 'reason',
                    'time', 'match_id', 'status_code', 'ds']) AS column_name
     """,
-    "run_day": f"""
-    {_AUDIT}
-    SELECT table_name, CAST(sum(n_rows) AS BIGINT) AS rows FROM counted GROUP BY table_name
-    """,
-    "backfill": f"""
-    {_AUDIT}
-    SELECT table_name, ds, CAST(sum(n_rows) AS BIGINT) AS rows, CAST(NULL AS VARCHAR) AS reason
-    FROM counted GROUP BY table_name, ds HAVING sum(n_rows) > 0
-    UNION ALL
-    SELECT 'matchday', ds, CAST(0 AS BIGINT), reason FROM failed
-    """,
     "retention": f"""
     SELECT o_orderkey, o_totalprice, o_orderpriority, {_MONTH} AS ds FROM orders
     WHERE date_diff('day', CAST({_MONTH} AS DATE), DATE '2001-08-02') <= 1000
@@ -270,18 +254,75 @@ ORACLES: dict[str, str] = {
     SELECT DISTINCT {_MONTH} AS ds FROM orders
     WHERE date_diff('day', CAST({_MONTH} AS DATE), DATE '2001-08-02') > 1000
     """,
-    "fetch_source": f"""
-    WITH k AS (SELECT *, {_DAY} AS ds, o_orderstatus || o_orderkey AS match_id FROM orders)
-    SELECT o_orderkey AS id, 'kickflow' AS agent, match_id, {_OK_STATUS}, ds
-    FROM k WHERE o_orderstatus = 'F'
-    UNION ALL
-    SELECT -o_orderkey, NULL, match_id, CAST(200 AS INTEGER), ds
-    FROM k WHERE o_orderstatus = 'F'
-    UNION ALL
-    SELECT NULL, NULL, match_id,
-           CAST(CASE WHEN o_orderstatus = 'O' THEN 404 END AS INTEGER), ds
-    FROM k WHERE o_orderstatus <> 'F'
+    "file_read": _shotmap(_WEEK),
+    "incremental": _shotmap(_WEEK),
+}
+
+
+_CONTENT = {
+    "shotmap": ("shotmap", "player_id"),
+    "match_incident": ("match_incident", "time"),
+    "match_lineups": ("match_lineups", '"shirtNumber"'),
+    "match_manager": ("match_manager", '"awayManager_id"'),
+    "match_statistics": ("match_statistics_lenient", '"renderType"'),
+    "match_summary": ("match_summary", '"player_userCount"'),
+}
+
+
+def _contents(listed: str, day: str) -> str:
+    """Rows, ids and content per table and day of the matches that ``listed`` lets through."""
+    per_match = "".join(
+        f"""
+      UNION ALL
+      SELECT '{name}', k.match_ds, count(*), sum(CAST(r.match_id AS BIGINT)),
+             sum(CAST(r.{value} AS BIGINT))
+      FROM ({ORACLES[query]}) AS r JOIN k ON r.match_id = CAST(k.o_orderkey AS VARCHAR)
+      GROUP BY k.match_ds"""
+        for name, (query, value) in _CONTENT.items()
+    )
+    return f"""
+    k AS (
+      SELECT *, {day} AS match_ds FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE c_mktsegment = 'BUILDING' AND {listed}
+    ),
+    asked AS (
+      SELECT DISTINCT o_custkey AS custom, match_ds, c_acctbal >= 0 AND c_acctbal < 9000 AS found
+      FROM k
+    ),
+    content (table_name, ds, n, ids, total) AS (
+      SELECT 'matchday', match_ds, count(*), sum(o_orderkey),
+             sum(CAST(epoch(o_orderdate) AS BIGINT))
+      FROM k GROUP BY match_ds
+      UNION ALL
+      SELECT 'match_event', match_ds, count(*), sum(custom),
+             sum(CASE WHEN found THEN o_orderkey END)
+      FROM asked LEFT JOIN orders ON found AND o_custkey = custom AND {day} = match_ds
+      GROUP BY match_ds{per_match}
+    )"""
+
+
+ORACLES |= {
+    "run_day": f"""
+    WITH {_contents("TRUE", "'2001-08-02'")}
+    SELECT table_name, n AS rows, CAST(ids AS BIGINT) AS ids, CAST(total AS BIGINT) AS total
+    FROM content
+    """,
+    "backfill": f"""
+    WITH {_contents(f"{_WEEK} NOT IN {_NO_LIST}", _WEEK)},
+    days AS (
+      SELECT strftime(unnest(generate_series(
+               TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)), '%Y-%m-%d') AS ds
+    ),
+    reasons AS (
+      SELECT ds, CASE WHEN ds NOT IN (SELECT {_WEEK} FROM orders) THEN 'no reply'
+                      ELSE {_REASON} END AS reason
+      FROM days
+    ),
+    names AS (SELECT unnest([{", ".join(f"'{n}'" for n in ("matchday", "match_event", *_CONTENT))}]) AS table_name)
+    SELECT table_name, ds, coalesce(n, 0) AS rows, coalesce(n, 0) AS held,
+           CAST(ids AS BIGINT) AS ids, CAST(total AS BIGINT) AS total,
+           CASE WHEN table_name = 'matchday' THEN reason
+                WHEN reason IS NOT NULL THEN 'no match list' END AS reason
+    FROM names CROSS JOIN reasons LEFT JOIN content USING (table_name, ds)
     """,
-    "file_read": _shotmap(_MONTH),
-    "incremental": _shotmap(_MONTH),
 }

@@ -27,7 +27,7 @@ class JobConfig:
     ds: str
     params: Mapping[str, Any] = field(default_factory=dict)
     num_in_partition: int = 10
-    num_out_partition: int = 1
+    num_out_partition: int | None = None
 
     @property
     def in_path(self) -> str | None:
@@ -39,7 +39,7 @@ class JobConfig:
 
     @property
     def identity(self) -> str:
-        return f"sourceID='{self.source_id}' filename='{self.in_file}' ds='{self.ds}'"
+        return f"{self.source_id}/{self.in_file} of {self.ds}"
 
 
 def run_job(
@@ -51,22 +51,27 @@ def run_job(
     before_export: Callable[[DataFrame], None] | None = None,
     no_rows_is_empty: bool = False,
 ) -> str:
-    """Run the steps in order and return ``done`` or ``skipped``."""
+    """Run the steps in order and return ``done`` or ``skipped``.
+
+    ``export`` gets ``num_out_partition`` partitions if the job has that number, else as
+    many as there are.
+    """
     start = time.monotonic()
-    log.info("%s step='read'", config.identity)
+    log.info("%s: reading its input", config.identity)
     if before_read:
         before_read()
     df = read()
     if df is None or (no_rows_is_empty and df.isEmpty()):
-        log.info("%s empty", config.identity)
+        log.info("%s: there is no input", config.identity)
         if config.skip_empty:
             return SKIPPED
         raise EmptyInput(config.identity)
-    log.info("%s step='etl'", config.identity)
     df = df.transform(etl)
-    log.info("%s step='export'", config.identity)
+    if config.num_out_partition:
+        df = df.repartition(config.num_out_partition)
+    log.info("%s: writing its output", config.identity)
     if before_export:
         before_export(df)
     export(df)
-    log.info("%s step='done' duration='%.3f'", config.identity, time.monotonic() - start)
+    log.info("%s: finished after %.3f s", config.identity, time.monotonic() - start)
     return DONE

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kickflow.functions.bodies import member
 from kickflow.functions.dates import week_start
 from kickflow.functions.nested import fill_text_nulls
 from kickflow.operators import endpoints
+from kickflow.plans import daily
 from kickflow.plans.daily import run_days
 from kickflow.plans.job import JobConfig, run_job
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import FLAG, INT, LONG, REAL, REPLIES, TEXT, struct_of
-from kickflow.session import checkpointed, configure, shared_folder
+from kickflow.session import configure, shared_folder, stored
 from kickflow.sinks.tables import (
     append,
     create_database,
@@ -26,13 +28,12 @@ from kickflow.sinks.tables import (
     table_name,
 )
 from kickflow.sources import derived
-from kickflow.sources.database import catalog_tables
-from kickflow.sources.fetch import fetch_replies
 from kickflow.sources.files import read_files
 from kickflow.sources.replies import for_keys, land, of_endpoint, read_replies
 from kickflow.streaming.incremental import take_in
 
-FIRST_DAY, LAST_DAY = "1900-01-01", "2999-12-31"
+# Orders are of these days.
+FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 
 
 MATCH = struct_of(
@@ -64,7 +65,7 @@ LINEUPS = {"player": PLAYER, "statistics": PLAYER_STATISTICS}
 RUN_OPTIONS: Mapping[str, Mapping] = {
     "matchday": {"record": MATCH},
     "shotmap": {"record": SHOT},
-    "match_event": {"record": struct_of(id=LONG)},
+    "match_event": {"record": EVENT},
     "match_incident": {"record": INCIDENT},
     "match_lineups": LINEUPS,
     "match_manager": {"record": MANAGERS},
@@ -88,11 +89,18 @@ def matchday_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shotmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.shotmap(derived.shotmap_replies(configure(spark), sf_dir), SHOT)
+    return endpoints.shotmap(derived.line_replies(configure(spark), sf_dir, ["shotmap"]), SHOT)
 
 
 def shotmap_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.shotmap(derived.shotmap_replies(configure(spark), sf_dir))
+    return endpoints.shotmap(derived.line_replies(configure(spark), sf_dir, ["shotmap"]))
+
+
+def failures_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies that all have failed, so that no record tells any column."""
+    replies = derived.line_replies(configure(spark), sf_dir, ["shotmap"])
+    failed = replies.where("status_code IS NULL OR status_code <> 200")
+    return endpoints.shotmap(failed)
 
 
 def match_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,25 +108,27 @@ def match_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_incident(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.match_incident(derived.incident_replies(configure(spark), sf_dir), INCIDENT)
+    return endpoints.match_incident(derived.line_replies(configure(spark), sf_dir, ["match_incident"]), INCIDENT)
 
 
 def match_lineups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.match_lineups(derived.lineup_replies(configure(spark), sf_dir), **LINEUPS)
+    return endpoints.match_lineups(derived.line_replies(configure(spark), sf_dir, ["match_lineups"]), **LINEUPS)
 
 
 def match_lineups_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = derived.lineup_replies(configure(spark), sf_dir)
+    replies = derived.line_replies(configure(spark), sf_dir, ["match_lineups"])
     return endpoints.match_lineups(replies, sides=("home", "away"), **LINEUPS)
 
 
 def match_lineups_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = derived.lineup_replies(configure(spark), sf_dir, damaged=True)
+    replies = derived.line_replies(
+        configure(spark), sf_dir, ["match_lineups"], damaged=True, ends=True
+    )
     return endpoints.match_lineups(replies, **LINEUPS)
 
 
 def match_lineups_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = derived.lineup_replies(configure(spark), sf_dir, damaged=True)
+    replies = derived.line_replies(configure(spark), sf_dir, ["match_lineups"], damaged=True)
     return endpoints.match_lineups(replies, on_bad="skip", **LINEUPS)
 
 
@@ -127,24 +137,24 @@ def match_manager(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.match_statistics(derived.statistics_replies(configure(spark), sf_dir))
+    return endpoints.match_statistics(derived.line_replies(configure(spark), sf_dir, ["match_statistics"]))
 
 
 def match_statistics_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replies = derived.statistics_replies(configure(spark), sf_dir, complete=False)
+    replies = derived.line_replies(configure(spark), sf_dir, ["match_statistics"], complete=False)
     return endpoints.match_statistics(replies, strict=False)
 
 
 def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.match_summary(derived.summary_replies(configure(spark), sf_dir))
+    return endpoints.match_summary(derived.line_replies(configure(spark), sf_dir, ["match_summary"]))
 
 
 def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shots of the day's football matches; replies of failed requests were never landed."""
     configure(spark)
     matches = endpoints.matchday(derived.matchday_replies(spark, sf_dir), MATCH)
-    keys = checkpointed(matches.select(F.col("match_id").alias("key"), "ds"))
-    landed = of_endpoint(derived.shotmap_replies(spark, sf_dir), "shotmap")
+    keys, _ = stored(matches.select(F.col("match_id").alias("key"), "ds"), "keys")
+    landed = of_endpoint(derived.line_replies(spark, sf_dir, ["shotmap"]), "shotmap")
     return endpoints.shotmap(for_keys(landed.where("status_code IS NOT NULL"), keys), SHOT)
 
 
@@ -179,10 +189,23 @@ def project_like_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table_name(_database(configure(spark), "Projected").upper(), "Orders")
     orders = _orders(spark, sf_dir)
     create_like(orders.select("o_orderpriority", "o_totalprice", "o_orderkey", "ds"), target)
-    append(orders.withColumn("extra", F.col("o_orderkey")), target)
+    append(orders.withColumn("extra", F.col("o_orderkey")), target, extra="drop")
     return spark.table(target)
 
 
+def append_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three periods: the second lacks a column, the third has two that the table lacks."""
+    target = table_name(_database(configure(spark), "drifting"), "orders")
+    orders = derived.table(spark, sf_dir, "orders").withColumn("ds", derived.month())
+    first, second = F.col("ds") < "1997-01-01", F.col("ds") < "1999-01-01"
+    more = {"residue": "more"}
+    append(orders.where(first).select("o_orderkey", "o_totalprice", "ds"), target, **more)
+    append(orders.where(~first & second).select("ds", "o_orderkey"), target, **more)
+    new = ["o_custkey", "o_orderpriority"]
+    append(orders.where(~second).select("o_orderkey", "o_totalprice", *new, "ds"), target, **more)
+    return spark.table(target).withColumn("more", F.to_json("more"))
+
+
 def append_ds(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table_name(_database(configure(spark), "appended"), "orders")
     orders = _orders(spark, sf_dir).drop("ds")
@@ -206,41 +229,68 @@ def replace_ds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
-def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _database(configure(spark), "listed")
-    for name in ("orders", "customer", "nation"):
-        append(derived.table(spark, sf_dir, name), table_name(schema, name), ds="2001-08-02")
-    return catalog_tables(spark, schema).select("table_name")
-
-
 def column_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column names of the flattened incidents, whose shape is read off all replies."""
-    incidents = endpoints.match_incident(derived.incident_replies(configure(spark), sf_dir))
+    incidents = endpoints.match_incident(derived.line_replies(configure(spark), sf_dir, ["match_incident"]))
     return spark.createDataFrame([(name,) for name in incidents.columns], "column_name STRING")
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
     folder = shared_folder(spark, "landing")
-    land(derived.all_replies(spark, sf_dir), folder)
+    land(derived.all_replies(spark, sf_dir, ds), folder)
     return read_replies(spark, folder)
 
 
+# Per table, the id that its rows carry and a number of their content.
+CONTENT = {
+    "matchday": ("match_id", "startTimestamp"),
+    "shotmap": ("match_id", "player_id"),
+    "match_event": ("coalesce(customId, match_id)", "id"),
+    "match_incident": ("match_id", "time"),
+    "match_lineups": ("match_id", "shirtNumber"),
+    "match_manager": ("match_id", "awayManager_id"),
+    "match_statistics": ("match_id", "renderType"),
+    "match_summary": ("match_id", "player_userCount"),
+}
+
+
+def _content(spark: SparkSession, source: str) -> DataFrame:
+    """Rows, sum of ids and sum of content per table and day, as the tables hold them."""
+
+    def of(name: str) -> DataFrame:
+        id, value = CONTENT[name]
+        return spark.table(table_name(source, name)).groupBy("ds").agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("n"),
+            F.expr(f"sum(cast({id} AS BIGINT))").alias("ids"),
+            F.expr(f"sum(cast({value} AS BIGINT))").alias("total"),
+        )
+
+    return reduce(DataFrame.unionByName, [of(name) for name in CONTENT])
+
+
 def run_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables appended in one run; rows per table."""
-    replies = _landed(configure(spark), sf_dir)
-    audit = run_days(
-        replies, _database(spark, "run"), FIRST_DAY, LAST_DAY, RUN_OPTIONS, write="append"
+    """All orders as the matches of a single day; rows and content per table."""
+    ds = derived.CUSTOMER_DS
+    replies = _landed(configure(spark), sf_dir, F.lit(ds))
+    source = _database(spark, "run")
+    audit = daily.run_day(replies, source, ds, options=RUN_OPTIONS, write="append")
+    held = _content(spark, source).drop("n")
+    return audit.join(held, ["table_name", "ds"], "left").select(
+        "table_name", "rows", "ids", "total"
     )
-    return audit.groupBy("table_name").agg(F.sum("rows").alias("rows"))
 
 
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days in one run, done twice; rows per table and day, as after one run."""
+    """A crawl per week, all weeks in one run, then one month again: rows, content and reason per table and day."""
     replies = _landed(configure(spark), sf_dir)
     source = _database(spark, "backfill")
-    for _ in range(2):
-        audit = run_days(replies, source, FIRST_DAY, LAST_DAY, RUN_OPTIONS)
-    return audit.select("table_name", "ds", "rows", "reason").distinct()
+    audit = run_days(replies, source, FIRST_DAY, LAST_DAY, RUN_OPTIONS)
+    run_days(replies, source, "1997-03-01", "1997-03-31", RUN_OPTIONS)
+    held = _content(spark, source)
+    return audit.join(held, ["table_name", "ds"], "left").select(
+        "table_name", "ds", "rows", F.coalesce("n", F.lit(0)).alias("held"), "ids", "total", "reason"
+    )
 
 
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,34 +308,10 @@ def retention_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expired_days(spark, target, as_of="2001-08-02", max_age=1000)
 
 
-def fetch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests for all orders, sent to a stand-in for the feed."""
-
-    # Nested, so that it is shipped with the tasks and needs no package on them.
-    def echo(endpoint: str, key: str, headers: Mapping[str, str]) -> tuple[int, str]:
-        """Answers by the status letter in front of the key."""
-        status, number = key[0], key[1:]
-        if status == "P":
-            raise ConnectionError(key)
-        agent = headers["User-Agent"]
-        body = f'{{"{endpoint}":[{{"id":{number},"agent":"{agent}"}},{{"id":-{number}}}]}}'
-        return (200 if status == "F" else 404), body
-
-    orders = derived.table(configure(spark), sf_dir, "orders")
-    keys = orders.select(
-        F.concat("o_orderstatus", F.col("o_orderkey").cast("string")).alias("key"),
-        derived.day().alias("ds"),
-    )
-    replies = fetch_replies(
-        keys, "shotmap", echo, headers={"User-Agent": "kickflow"}, pause=0, connections=8
-    )
-    return endpoints.shotmap(replies, struct_of(id=LONG, agent=TEXT))
-
-
 def file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job over JSON lines, and one without rows that is skipped."""
     folder = shared_folder(configure(spark), "lines")
-    derived.shotmap_replies(spark, sf_dir, derived.month()).write.json(folder)
+    derived.line_replies(spark, sf_dir, ["shotmap"], derived.week()).write.json(folder)
     database = _database(spark, "jobs")
     config = JobConfig(database, "Shots", "2001-08-02", {"in_path": folder, "skip_empty": True})
     target = table_name(config.source_id, config.in_file)
@@ -309,7 +335,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(configure(spark), "landing")
     checkpoint = shared_folder(spark, "progress")
     target = table_name(_database(spark, "stream"), "shotmap")
-    replies = derived.shotmap_replies(spark, sf_dir, derived.month())
+    replies = derived.line_replies(spark, sf_dir, ["shotmap"], derived.week())
     good = F.coalesce(F.col("status_code") == 200, F.lit(False))
     for part in (good, ~good):
         land(replies.where(part), folder)
@@ -326,6 +352,7 @@ QUERIES = {
         matchday_audit,
         shotmap,
         shotmap_inferred,
+        failures_inferred,
         match_event,
         match_incident,
         match_lineups,
@@ -343,14 +370,13 @@ QUERIES = {
         json_props,
         project_like_table,
         append_ds,
+        append_drift,
         replace_ds,
-        list_tables,
         column_list,
         run_day,
         backfill,
         retention,
         retention_report,
-        fetch_source,
         file_read,
         incremental,
     )

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more exchange for the next step.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Lets a lookup by key and day use replies that are bucketed by key alone.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -47,6 +49,47 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/kickflow/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder, and the path; its size is then known to Spark."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored`` has written, wherever the shared folder is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+_lock = Lock()
+_open: Counter = Counter()
+_before: dict[str, str | None] = {}
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A runtime setting for as long as some thread is in the block, then what it was before."""
+    with _lock:
+        if not _open[name]:
+            _before[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+        _open[name] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _open[name] -= 1
+            if not _open[name]:
+                before = _before.pop(name)
+                spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def lookup_by_key(spark: SparkSession) -> object:
+    """A block in which a lookup by key and day uses replies that are bucketed by key alone."""
+    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, so that a lost executor costs no rerun."""
     spark = df.sparkSession

@@ -9,20 +9,24 @@ items gets an empty array, a null member or no member, by its priority.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A reply holds about this many records, or more where else too many keys would
-# need several replies.
+from kickflow.schemas import FLAG, INT, LONG, REAL, TEXT, struct_of
+from kickflow.session import stored
+
+# A reply holds about this many records; a key with more is answered in several.
 PAGE_RECORDS = 5000
-MAX_HOT_KEYS = 1_000_000
 
 TRUNCATED_BELOW = 20_000.0
-CLOSED_DAY = "1998-01-01"
-TRUNCATED_DAY = "1999-12-01"
-FAILED_DAY = "2000-02-01"
+# Days whose match list is not found, is damaged, or whose request fails; and their weeks.
+CLOSED = ("1998-01-01", "1997-12-29")
+TRUNCATED = ("1999-12-01", "1999-11-29")
+FAILED = ("2000-02-01", "2000-01-31")
 CUSTOMER_DS = "2001-08-02"
 
 
@@ -31,40 +35,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """A table with ``source_row``, which is the same in every attempt to read a row."""
-    return rows.withColumn(
-        "source_row", F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    )
+    """A table, with its ``_metadata``, with ``source_row`` in its place.
+
+    It is the same in every attempt to read a row.
+    """
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return rows.withColumn("source_row", place).drop("_metadata")
 
 
 def day(column: str = "o_orderdate") -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def month(column: str = "o_orderdate") -> Column:
-    return F.date_format(F.trunc(column, "MM"), "yyyy-MM-dd")
+def week(column: str = "o_orderdate") -> Column:
+    """The Monday of a week, for a feed that is crawled once a week."""
+    return F.date_format(F.date_trunc("week", column), "yyyy-MM-dd")
 
 
-def page_size(rows: DataFrame) -> int:
-    """Records per reply, so many that at most ``MAX_HOT_KEYS`` keys need a second one."""
-    return max(PAGE_RECORDS, -(-rows.count() // MAX_HOT_KEYS))
+def month(column: str = "o_orderdate") -> Column:
+    return F.date_format(F.trunc(column, "MM"), "yyyy-MM-dd")
 
 
-def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """Keys with more rows than one reply holds, and their number of replies.
+def hot_keys(rows: DataFrame, key: str, *facts: Column) -> DataFrame:
+    """Keys with more rows than one reply holds: their number of replies, and facts of all rows.
 
-    Small enough to broadcast at any scale: fewer than all rows over the page size.
+    Stored, so that Spark knows how many there are: it sends few to the rows, and otherwise
+    deals out both.
     """
-    size = page_size(rows)
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > size)
-    return F.broadcast(counts.select(key, F.ceil(F.col("n") / size).alias("pages")))
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *facts)
+    counts = counts.where(F.col("n") > PAGE_RECORDS)
+    pages = F.ceil(F.col("n") / PAGE_RECORDS).alias("pages")
+    return stored(counts.withColumn("pages", pages).drop("n"), "hot-keys")[0]
 
 
 def dealt(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Rows with a ``page``; those of a hot key go to pages by their place in the file."""
     return (
         numbered(rows)
-        .join(hot, key, "left")
+        .join(hot.select(key, "pages"), key, "left")
         .withColumn("page", F.pmod("source_row", F.coalesce("pages", F.lit(1))))
         .drop("pages", "source_row")
     )
@@ -81,24 +89,30 @@ def collected(rows: DataFrame, key: str, record: Column) -> DataFrame:
 
 
 def with_records(
-    parents: DataFrame, key: str, children: DataFrame, child_key: str, record: Column
+    parents: DataFrame,
+    key: str,
+    children: DataFrame,
+    child_key: str,
+    record: Column,
+    *facts: Column,
 ) -> DataFrame:
-    """Each parent with its child rows as an array ``records``, in pages.
+    """Each parent with its child rows as an array ``records``, in pages from 0 on.
 
     A parent without children has NULL records. Children are shuffled once, by key
     and page, so the rows of a hot parent go to many tasks. The parents follow them:
     one row for each page. That join stays a shuffle, as arrays are larger than they
-    are estimated to be.
+    are estimated to be. ``facts`` are aggregates of all children of a parent of several
+    pages (``pages`` is not NULL), where one page alone could not tell.
     """
-    hot = hot_keys(children, child_key)
+    hot = hot_keys(children, child_key, *facts)
     filled = collected(dealt(children, child_key, hot), child_key, record)
     filled = filled.withColumnRenamed(child_key, key)
     slots = parents.join(hot.withColumnRenamed(child_key, key), key, "left").withColumn(
         "page", F.explode(F.sequence(F.lit(0), F.coalesce("pages", F.lit(1)) - 1))
     )
     joined = slots.join(filled.hint("merge"), [key, "page"], "left")
-    wanted = F.col("records").isNotNull() | F.col("pages").isNull()
-    return joined.where(wanted).drop("page", "pages")
+    wanted = F.col("records").isNotNull() | F.col("pages").isNull() | (F.col("page") == 0)
+    return joined.where(wanted)
 
 
 def truncated(body: Column) -> Column:
@@ -114,143 +128,162 @@ def without_records(name: str) -> Column:
     )
 
 
-def as_replies(orders: DataFrame, endpoint: str, whole: Column, ds: Column) -> DataFrame:
-    """Reply rows of ``orders`` whose undamaged body is ``whole``."""
+def outcome(endpoint: str | Column, key: str, whole: Column, ds: Column | str) -> list[Column]:
+    """Columns of the reply of an order whose undamaged body is ``whole``."""
     status = F.when(F.col("o_orderstatus") == "F", 200).when(F.col("o_orderstatus") == "O", 404)
-    body = F.when(F.col("o_totalprice") < TRUNCATED_BELOW, truncated(F.col("whole")))
-    return orders.withColumn("whole", whole).select(
-        F.lit(endpoint).alias("endpoint"),
-        F.col("o_orderkey").cast("string").alias("key"),
+    body = F.when(F.col("o_totalprice") < TRUNCATED_BELOW, truncated(whole)).otherwise(whole)
+    return [
+        (F.lit(endpoint) if isinstance(endpoint, str) else endpoint).alias("endpoint"),
+        F.col(key).cast("string").alias("key"),
         status.alias("status_code"),
-        F.when(status.isNotNull(), body.otherwise(F.col("whole"))).alias("body"),
-        ds.alias("ds"),
-    )
+        F.when(status.isNotNull(), body).alias("body"),
+        (F.col(ds) if isinstance(ds, str) else ds).alias("ds"),
+    ]
+
+
+# What a line item's reply needs of it; the shapes below are made of the collected lines.
+LINE = (
+    "l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag"
+    " l_linestatus l_shipdate"
+).split()
+
+# Of all lines of an order in several pages: whether the away team has any, and the first
+# player without statistics.
+RANK = ("l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_returnflag", "l_tax")
+
+
+def _rank(line: Column) -> Column:
+    return F.struct(*[line[name].alias(name) for name in RANK])
+
+
+def _damaged(line: Column) -> Column:
+    return (line["l_returnflag"] == "R") & (line["l_linenumber"] >= 4)
+
+
+def _facts() -> list[Column]:
+    own = F.struct(*[F.col(name).alias(name) for name in LINE])
+    first = F.when(_damaged(own) & (own["l_linestatus"] == "F"), _rank(own))
+    return [
+        F.max(F.col("l_linestatus") == "O").alias("has_away"),
+        F.min(first).alias("first_damaged"),
+    ]
 
 
 def line_replies(
-    spark: SparkSession,
-    sf_dir: str,
-    endpoint: str,
-    record: Column,
-    body: Callable[[Column], Column],
-    empty: Column,
-    ds: Column,
+    spark: SparkSession, sf_dir: str, endpoints: Sequence[str], ds: Column | None = None, **options
 ) -> DataFrame:
-    """One reply per order (and page) with its line items as records."""
+    """Replies of several endpoints per order (and page), made of one pass over its line items.
+
+    ``options`` are those of the shapes: ``damaged`` and ``ends`` of line-ups, ``complete`` of
+    statistics.
+    """
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", ds.alias("ds")
-    )
-    lines = table(spark, sf_dir, "lineitem")
-    answered = with_records(orders, "o_orderkey", lines, "l_orderkey", record)
-    records = F.col("records")
-    whole = F.when(records.isNotNull(), F.to_json(body(records))).otherwise(empty)
-    return as_replies(answered, endpoint, whole, F.col("ds"))
-
-
-def shotmap_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
-    shot = F.struct(
-        F.col("l_linenumber").alias("id"),
-        F.col("l_discount").alias("xg"),
-        F.struct(F.col("l_partkey").alias("id"), F.col("l_returnflag").alias("flag")).alias(
-            "player"
-        ),
+        "o_orderkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "o_orderpriority",
+        (day() if ds is None else ds).alias("ds"),
     )
-    return line_replies(
-        spark,
-        sf_dir,
-        "shotmap",
-        shot,
-        lambda records: F.struct(records.alias("shotmap")),
-        without_records("shotmap"),
-        day() if ds is None else ds,
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE, "_metadata")
+    record = F.struct(*LINE)
+    answered = with_records(orders, "o_orderkey", lines, "l_orderkey", record, *_facts())
+    # An order without lines has no records, one whose first page is empty has none on it.
+    none = F.col("records").isNull() & F.col("pages").isNull()
+    records = F.coalesce("records", F.array().cast(answered.schema["records"].dataType))
+
+    def whole(name: str) -> Column:
+        body, empty = SHAPES[name](records, **options)
+        return F.when(none, empty).otherwise(F.to_json(body))
+
+    each = F.array(
+        *[F.struct(F.lit(name).alias("endpoint"), whole(name).alias("whole")) for name in endpoints]
     )
+    # A failed request has no body, so its replies need not be made.
+    rows = answered.select("*", F.explode(each).alias("reply"))
+    return rows.select(*outcome(F.col("reply.endpoint"), "o_orderkey", F.col("reply.whole"), "ds"))
+
+
+Shape = tuple[Column, Column]
+
+
+def _shots(lines: Column, **_) -> Shape:
+    def shot(r: Column) -> Column:
+        return F.struct(
+            r["l_linenumber"].alias("id"),
+            r["l_discount"].alias("xg"),
+            F.struct(r["l_partkey"].alias("id"), r["l_returnflag"].alias("flag")).alias("player"),
+        )
 
+    return F.struct(F.transform(lines, shot).alias("shotmap")), without_records("shotmap")
 
-def incident_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
+
+def _incidents(lines: Column, **_) -> Shape:
     """Records of three kinds, each with fields the others lack."""
-    flag = F.col("l_returnflag")
-    incident = F.struct(
-        F.col("l_linenumber").alias("id"),
-        flag.alias("incidentType"),
-        F.when(flag == "A", F.col("l_quantity").cast("bigint")).alias("time"),
-        F.when(
-            flag == "A",
-            F.struct(
-                F.col("l_partkey").alias("id"),
-                F.struct(F.col("l_linestatus").alias("code")).alias("team"),
-            ),
-        ).alias("player"),
-        F.when(flag == "R", F.concat(F.lit("reason "), F.col("l_suppkey"))).alias("reason"),
-        F.when(flag == "N", F.col("l_linestatus") == "O").alias("isLive"),
-    )
-    return line_replies(
-        spark,
-        sf_dir,
-        "match_incident",
-        incident,
-        lambda records: F.struct(records.alias("incidents")),
-        without_records("incidents"),
-        day() if ds is None else ds,
-    )
 
+    def incident(r: Column) -> Column:
+        flag = r["l_returnflag"]
+        team = F.struct(r["l_linestatus"].alias("code")).alias("team")
+        return F.struct(
+            r["l_linenumber"].alias("id"),
+            flag.alias("incidentType"),
+            F.when(flag == "A", r["l_quantity"].cast("bigint")).alias("time"),
+            F.when(flag == "A", F.struct(r["l_partkey"].alias("id"), team)).alias("player"),
+            F.when(flag == "R", F.concat(F.lit("reason "), r["l_suppkey"])).alias("reason"),
+            F.when(flag == "N", r["l_linestatus"] == "O").alias("isLive"),
+        )
 
-def lineup_replies(
-    spark: SparkSession, sf_dir: str, ds: Column | None = None, damaged: bool = False
-) -> DataFrame:
+    return F.struct(F.transform(lines, incident).alias("incidents")), without_records("incidents")
+
+
+def _lineups(lines: Column, damaged: bool = False, ends: bool = False, **_) -> Shape:
     """Players whose statistics overwrite ``rating``: with a value, with null, or not.
 
-    ``damaged`` gives the players in a fixed order and leaves some without statistics.
+    ``damaged`` gives the players in a fixed order and leaves some without statistics. With
+    ``ends`` an answer in several pages ends at the first of these: it is the last player of
+    the first page, and no page has one that comes later.
     """
-    flag = F.col("l_returnflag")
-    minutes = F.col("l_quantity")
-    statistics = (
-        F.when(
-            flag == "A",
-            F.create_map(
-                F.lit("minutes"), minutes, F.lit("rating"), F.col("l_discount")
-            ),
-        )
-        .when(
-            flag == "R",
-            F.create_map(
-                F.lit("minutes"), minutes, F.lit("rating"), F.lit(None).cast("double")
-            ),
-        )
-        .otherwise(F.create_map(F.lit("minutes"), minutes))
-    )
-    if damaged:
-        statistics = F.when(~((flag == "R") & (F.col("l_linenumber") >= 4)), statistics)
-    entry = F.struct(
-        F.col("l_linenumber").alias("shirtNumber"),
-        F.struct(
-            F.col("l_partkey").alias("id"),
-            F.col("l_tax").alias("rating"),
-            flag.alias("position"),
-            F.struct(F.col("l_suppkey").alias("id")).alias("country"),
-        ).alias("player"),
-        F.col("l_suppkey").cast("string").alias("jerseyNumber"),
-        F.concat(F.lit("p"), flag).alias("position"),
-        (F.col("l_linenumber") > 4).alias("substitute"),
-        # Only orders the players; the feed's records are open, so it does no harm.
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_linestatus").alias("side"),
-        statistics.alias("statistics"),
-    )
 
-    def body(records: Column) -> Column:
-        ordered = (
-            F.array_sort(
-                records,
-                lambda a, b: F.when(_rank(a) < _rank(b), -1).when(_rank(a) > _rank(b), 1).otherwise(0),
-            )
-            if damaged
-            else records
+    def statistics(r: Column) -> Column:
+        flag, minutes = r["l_returnflag"], r["l_quantity"]
+        pairs = [F.lit("minutes"), minutes, F.lit("rating")]
+        found = (
+            F.when(flag == "A", F.create_map(*pairs, r["l_discount"]))
+            .when(flag == "R", F.create_map(*pairs, F.lit(None).cast("double")))
+            .otherwise(F.create_map(F.lit("minutes"), minutes))
         )
+        return F.when(~_damaged(r), found) if damaged else found
 
-        def team(side: str) -> Column:
-            return F.struct(F.filter(ordered, lambda e: e.side == side).alias("players"))
+    def entry(r: Column) -> Column:
+        flag = r["l_returnflag"]
+        return F.struct(
+            r["l_linenumber"].alias("shirtNumber"),
+            F.struct(
+                r["l_partkey"].alias("id"),
+                r["l_tax"].alias("rating"),
+                flag.alias("position"),
+                F.struct(r["l_suppkey"].alias("id")).alias("country"),
+            ).alias("player"),
+            r["l_suppkey"].cast("string").alias("jerseyNumber"),
+            F.concat(F.lit("p"), flag).alias("position"),
+            (r["l_linenumber"] > 4).alias("substitute"),
+            statistics(r).alias("statistics"),
+        )
 
-        return F.struct(team("F").alias("home"), team("O").alias("away"))
+    def ordered(lines: Column) -> Column:
+        by_rank = F.transform(lines, lambda r: F.struct(_rank(r).alias("rank"), r.alias("line")))
+        return F.transform(F.array_sort(by_rank), lambda x: x["line"])
+
+    def team(status: str) -> Column:
+        own = F.filter(lines, lambda r: r["l_linestatus"] == status)
+        own = ordered(own) if damaged else own
+        entries = F.transform(own, entry)
+        if ends and status == "F":
+            first = F.col("first_damaged")
+            before = F.transform(F.filter(own, lambda r: _rank(r) < first), entry)
+            bad = F.when(F.col("page") == 0, F.array(F.lit(None).cast(LINEUP_PLAYER)))
+            cut = F.concat(before, F.coalesce(bad, F.array().cast(T.ArrayType(LINEUP_PLAYER))))
+            entries = F.when(F.col("pages").isNotNull() & first.isNotNull(), cut).otherwise(entries)
+        return F.struct(entries.alias("players"))
 
     empty = (
         F.when(
@@ -260,134 +293,93 @@ def lineup_replies(
         .when(F.col("o_orderpriority") == "3-MEDIUM", '{"home":null}')
         .otherwise("{}")
     )
-    return line_replies(
-        spark, sf_dir, "match_lineups", entry, body, empty, day() if ds is None else ds
-    )
+    return F.struct(team("F").alias("home"), team("O").alias("away")), empty
 
 
-def _rank(entry: Column) -> Column:
-    return F.struct(
-        entry.shirtNumber,
-        entry.price,
-        entry.player.id,
-        entry.player.country.id,
-        entry.player.position,
-        entry.player.rating,
-    )
+LINEUP_PLAYER = struct_of(
+    shirtNumber=INT,
+    player=struct_of(id=LONG, rating=REAL, position=TEXT, country=struct_of(id=LONG)),
+    jerseyNumber=TEXT,
+    position=TEXT,
+    substitute=FLAG,
+    statistics=T.MapType(TEXT, REAL),
+)
 
 
-def manager_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
-    """One object per order; an order without a given priority has an empty one."""
-    customers = table(spark, sf_dir, "customer")
-    nations = table(spark, sf_dir, "nation")
-    orders = (
-        table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    managers = F.struct(
-        F.struct(
-            F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("name"),
-            F.struct(F.col("n_name").alias("name")).alias("country"),
-        ).alias("homeManager"),
-        F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name")).alias(
-            "awayManager"
-        ),
-    )
-    whole = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "{}").otherwise(
-        F.to_json(managers)
-    )
-    return as_replies(orders, "match_manager", whole, day() if ds is None else ds)
-
-
-def statistics_replies(
-    spark: SparkSession, sf_dir: str, ds: Column | None = None, complete: bool = True
-) -> DataFrame:
+def _statistics(lines: Column, complete: bool = True, **_) -> Shape:
     """Line items nested in periods (line status) and groups (return flag).
 
     ``complete`` replies have the member even where there are no line items.
     """
-    line = F.struct(
-        F.col("l_linestatus").alias("period"),
-        F.col("l_returnflag").alias("group"),
-        F.struct(
-            F.concat(F.lit("part "), F.col("l_partkey")).alias("name"),
-            F.col("l_quantity").cast("int").cast("string").alias("home"),
-            F.col("l_suppkey").cast("string").alias("away"),
-            F.when(F.col("l_tax") > F.col("l_discount"), 1).otherwise(2).alias("compareCode"),
+
+    def item(r: Column) -> Column:
+        return F.struct(
+            F.concat(F.lit("part "), r["l_partkey"]).alias("name"),
+            r["l_quantity"].cast("int").cast("string").alias("home"),
+            r["l_suppkey"].cast("string").alias("away"),
+            F.when(r["l_tax"] > r["l_discount"], 1).otherwise(2).alias("compareCode"),
             F.lit("positive").alias("statisticsType"),
             F.lit("event").alias("valueType"),
-            F.col("l_quantity").alias("homeValue"),
-            F.col("l_extendedprice").alias("awayValue"),
-            F.col("l_linenumber").alias("renderType"),
-            F.concat(F.lit("supplier "), F.col("l_suppkey")).alias("key"),
-        ).alias("item"),
-    )
-
-    def groups(lines: Column) -> Column:
-        return F.transform(
-            F.array_distinct(F.transform(lines, lambda e: e.group)),
-            lambda g: F.struct(
-                g.alias("groupName"),
-                F.transform(F.filter(lines, lambda e: e.group == g), lambda e: e["item"]).alias(
-                    "statisticsItems"
-                ),
-            ),
+            r["l_quantity"].alias("homeValue"),
+            r["l_extendedprice"].alias("awayValue"),
+            r["l_linenumber"].alias("renderType"),
+            F.concat(F.lit("supplier "), r["l_suppkey"]).alias("key"),
         )
 
-    def body(lines: Column) -> Column:
-        return F.struct(
-            F.transform(
-                F.array_distinct(F.transform(lines, lambda e: e.period)),
-                lambda p: F.struct(
-                    p.alias("period"),
-                    groups(F.filter(lines, lambda e: e.period == p)).alias("groups"),
-                ),
-            ).alias("statistics")
-        )
+    def parts(lines: Column, field: str, made: Callable[[Column, Column], Column]) -> Column:
+        values = F.array_distinct(F.transform(lines, lambda r: r[field]))
+        return F.transform(values, lambda v: made(v, F.filter(lines, lambda r: r[field] == v)))
 
-    empty = F.lit('{"statistics":[]}') if complete else without_records("statistics")
-    return line_replies(
-        spark, sf_dir, "match_statistics", line, body, empty, day() if ds is None else ds
-    )
+    def group(name: Column, own: Column) -> Column:
+        return F.struct(name.alias("groupName"), F.transform(own, item).alias("statisticsItems"))
 
+    def period(name: Column, own: Column) -> Column:
+        return F.struct(name.alias("period"), parts(own, "l_returnflag", group).alias("groups"))
 
-def summary_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
-    """Best players of both teams; an order without lines of status O lacks the away member."""
-    text = F.col("l_partkey").cast("string")
-    player = F.struct(
-        F.concat(F.lit("Player "), text).alias("name"),
-        F.concat(F.lit("player-"), text).alias("slug"),
-        F.concat(F.lit("P. "), text).alias("shortName"),
-        F.col("l_returnflag").alias("position"),
-        F.col("l_linenumber").cast("string").alias("jerseyNumber"),
-        F.col("l_quantity").cast("bigint").alias("userCount"),
-        F.col("l_partkey").alias("id"),
-        F.lit("EUR").alias("marketValueCurrency"),
-        F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("dateOfBirthTimestamp"),
-        F.when(
-            F.col("l_returnflag") != "N",
-            F.struct(
-                F.struct(F.concat(F.lit("ar "), text).alias("ar")).alias("nameTranslation"),
-                F.struct(F.concat(F.lit("a "), text).alias("ar")).alias("shortNameTranslation"),
-            ),
-        ).alias("fieldTranslations"),
-    )
-    best = F.struct(
-        F.col("l_suppkey").cast("string").alias("value"),
-        F.col("l_returnflag").alias("label"),
-        player.alias("player"),
-        F.col("l_linestatus").alias("side"),
-    )
+    body = F.struct(parts(lines, "l_linestatus", period).alias("statistics"))
+    return body, F.lit('{"statistics":[]}') if complete else without_records("statistics")
+
+
+def _summary(lines: Column, **_) -> Shape:
+    """Best players of both teams; an order without lines of status O lacks the away member.
 
-    def body(records: Column) -> Column:
-        away = F.filter(records, lambda e: e.side == "O")
+    In several pages, only the first lacks it.
+    """
+
+    def best(r: Column) -> Column:
+        text = r["l_partkey"].cast("string")
+        names = F.struct(
+            F.struct(F.concat(F.lit("ar "), text).alias("ar")).alias("nameTranslation"),
+            F.struct(F.concat(F.lit("a "), text).alias("ar")).alias("shortNameTranslation"),
+        )
+        player = F.struct(
+            F.concat(F.lit("Player "), text).alias("name"),
+            F.concat(F.lit("player-"), text).alias("slug"),
+            F.concat(F.lit("P. "), text).alias("shortName"),
+            r["l_returnflag"].alias("position"),
+            r["l_linenumber"].cast("string").alias("jerseyNumber"),
+            r["l_quantity"].cast("bigint").alias("userCount"),
+            r["l_partkey"].alias("id"),
+            F.lit("EUR").alias("marketValueCurrency"),
+            F.unix_timestamp(r["l_shipdate"].cast("timestamp")).alias("dateOfBirthTimestamp"),
+            F.when(r["l_returnflag"] != "N", names).alias("fieldTranslations"),
+        )
         return F.struct(
-            F.filter(records, lambda e: e.side == "F").alias("bestHomeTeamPlayers"),
-            F.when(F.size(away) > 0, away).alias("bestAwayTeamPlayers"),
+            r["l_suppkey"].cast("string").alias("value"),
+            r["l_returnflag"].alias("label"),
+            player.alias("player"),
         )
 
+    def team(status: str) -> Column:
+        return F.transform(F.filter(lines, lambda r: r["l_linestatus"] == status), best)
+
+    away = F.exists(lines, lambda r: r["l_linestatus"] == "O")
+    in_pages = F.col("has_away") | (F.col("page") > 0)
+    shown = F.when(F.col("pages").isNull(), away).otherwise(in_pages)
+    body = F.struct(
+        team("F").alias("bestHomeTeamPlayers"),
+        F.when(shown, team("O")).alias("bestAwayTeamPlayers"),
+    )
     empty = (
         F.when(
             F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
@@ -396,8 +388,42 @@ def summary_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
         .when(F.col("o_orderpriority") == "3-MEDIUM", '{"bestHomeTeamPlayers":null}')
         .otherwise("{}")
     )
-    return line_replies(
-        spark, sf_dir, "match_summary", best, body, empty, day() if ds is None else ds
+    return body, empty
+
+
+SHAPES: Mapping[str, Callable[..., Shape]] = {
+    "shotmap": _shots,
+    "match_incident": _incidents,
+    "match_lineups": _lineups,
+    "match_statistics": _statistics,
+    "match_summary": _summary,
+}
+
+
+def manager_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
+    """One object per order; an order without a given priority has an empty one."""
+    customers = table(spark, sf_dir, "customer")
+    nations = table(spark, sf_dir, "nation")
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    managers = F.struct(
+        F.struct(
+            F.col("c_custkey").alias("id"),
+            F.col("c_name").alias("name"),
+            F.struct(F.col("n_name").alias("name")).alias("country"),
+        ).alias("homeManager"),
+        F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name")).alias(
+            "awayManager"
+        ),
+    )
+    whole = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "{}").otherwise(
+        F.to_json(managers)
+    )
+    return orders.select(
+        *outcome("match_manager", "o_orderkey", whole, day() if ds is None else ds)
     )
 
 
@@ -407,8 +433,11 @@ def _customer_status() -> Column:
     return F.when(balance < 0, 404).when(balance < 9000, 200)
 
 
-def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reply per customer (and page) with all of its orders as events."""
+def event_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
+    """One reply per customer (and page) with all of its orders as events.
+
+    With ``ds``, a column of orders, one per customer and day with the orders of that day.
+    """
     event = F.struct(
         F.col("o_orderkey").alias("id"),
         F.struct(F.col("o_orderstatus").alias("type")).alias("status"),
@@ -416,8 +445,16 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("startTimestamp"),
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    orders = table(spark, sf_dir, "orders")
-    answered = with_records(customers, "c_custkey", orders, "o_custkey", event)
+    orders = table(spark, sf_dir, "orders").select("*", "_metadata")
+    if ds is None:
+        answered = with_records(customers, "c_custkey", orders, "o_custkey", event)
+        answered = answered.withColumn("ds", F.lit(CUSTOMER_DS))
+    else:
+        dated = orders.withColumn("asked", F.struct("o_custkey", ds.alias("ds")))
+        asked = dated.select("asked").distinct()
+        asked = asked.join(customers, F.col("asked.o_custkey") == F.col("c_custkey"))
+        answered = with_records(asked, "asked", dated, "asked", event)
+        answered = answered.withColumn("ds", F.col("asked.ds"))
     events = F.coalesce(F.col("records"), F.array())
     status = _customer_status()
     return answered.select(
@@ -425,24 +462,6 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("key"),
         status.alias("status_code"),
         F.when(status.isNotNull(), F.to_json(F.struct(events.alias("events")))).alias("body"),
-        F.lit(CUSTOMER_DS).alias("ds"),
-    )
-
-
-def latest_event_replies(spark: SparkSession, sf_dir: str, ds: Column) -> DataFrame:
-    """One reply per customer and day with the last order of that day as its event."""
-    orders = table(spark, sf_dir, "orders").withColumn("ds", ds)
-    latest = orders.groupBy("o_custkey", "ds").agg(F.max("o_orderkey").alias("id"))
-    answered = latest.join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    status = _customer_status()
-    events = F.to_json(F.struct(F.array(F.struct("id")).alias("events")))
-    return answered.select(
-        F.lit("match_event").alias("endpoint"),
-        F.col("o_custkey").cast("string").alias("key"),
-        status.alias("status_code"),
-        F.when(status.isNotNull(), events).alias("body"),
         "ds",
     )
 
@@ -465,7 +484,7 @@ def matchday_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
         ).alias("tournament"),
     )
     ds = day() if ds is None else ds
-    orders = table(spark, sf_dir, "orders").withColumn("ds", ds)
+    orders = table(spark, sf_dir, "orders").select("*", "_metadata").withColumn("ds", ds)
     customers = table(spark, sf_dir, "customer")
     played = dealt(orders, "ds", hot_keys(orders, "ds")).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
@@ -473,8 +492,8 @@ def matchday_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
     listed = collected(played, "ds", event).withColumn(
         "whole", F.to_json(F.struct(F.col("records").alias("events")))
     )
-    status = F.when(F.col("ds") == CLOSED_DAY, 404).when(F.col("ds") != FAILED_DAY, 200)
-    body = F.when(F.col("ds") == TRUNCATED_DAY, truncated(F.col("whole")))
+    status = F.when(F.col("ds").isin(*CLOSED), 404).when(~F.col("ds").isin(*FAILED), 200)
+    body = F.when(F.col("ds").isin(*TRUNCATED), truncated(F.col("whole")))
     return listed.select(
         F.lit("matchday").alias("endpoint"),
         F.col("ds").alias("key"),
@@ -484,19 +503,13 @@ def matchday_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None)
     )
 
 
-def all_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies of all endpoints, with the month as the day of the crawl."""
+def all_replies(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
+    """Replies of all endpoints; ``ds``, a column of orders, is the day of the crawl."""
+    ds = week() if ds is None else ds
     parts = [
-        matchday_replies(spark, sf_dir, month()),
-        shotmap_replies(spark, sf_dir, month()),
-        latest_event_replies(spark, sf_dir, month()),
-        incident_replies(spark, sf_dir, month()),
-        lineup_replies(spark, sf_dir, month()),
-        manager_replies(spark, sf_dir, month()),
-        statistics_replies(spark, sf_dir, month(), complete=False),
-        summary_replies(spark, sf_dir, month()),
+        matchday_replies(spark, sf_dir, ds),
+        line_replies(spark, sf_dir, list(SHAPES), ds, complete=False),
+        event_replies(spark, sf_dir, ds),
+        manager_replies(spark, sf_dir, ds),
     ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return reduce(DataFrame.unionByName, parts)

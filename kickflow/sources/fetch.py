@@ -36,7 +36,8 @@ def fetch_replies(
 
     ``fetch(endpoint, key, headers)`` returns status and body. ``connections`` is
     the number of tasks that send requests, each waiting ``pause`` seconds after
-    every request. Land the result once: reading it again sends the requests again.
+    every request; by default as many as the cluster runs at once. Land the result
+    once: reading it again sends the requests again.
     """
     sent = dict(headers or {})
 
@@ -55,7 +56,5 @@ def fetch_replies(
                 rows = [ask(row["key"], row["ds"]) for row in part]
                 yield pa.RecordBatch.from_pylist(rows, schema=ARROW_REPLIES)
 
-    keys = keys.select("key", "ds")
-    if connections is not None:
-        keys = keys.repartition(connections)
-    return keys.mapInArrow(ask_all, REPLIES)
+    tasks = connections or keys.sparkSession.sparkContext.defaultParallelism
+    return keys.select("key", "ds").repartition(tasks).mapInArrow(ask_all, REPLIES)

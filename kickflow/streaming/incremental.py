@@ -36,7 +36,8 @@ def take_in(
         days = [row.ds for row in batch.select("ds").distinct().collect()]
         if days:
             whole = of_endpoint(read_replies(spark, landing), endpoint)
-            replace_days(build(whole.where(F.col("ds").isin(days))), table, days)
+            wanted = spark.createDataFrame([(day,) for day in days], "ds STRING")
+            replace_days(build(whole.join(wanted, "ds", "left_semi")), table, days)
 
     (
         new.select("ds")

@@ -5,7 +5,6 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,9 +93,11 @@ def test_project_like(spark, database):
     assert target == f"{database.lower()}.t"
     create_like(spark.createDataFrame([], "a INT, b STRING, ds STRING"), target)
     df = spark.createDataFrame([("d", 1.5, "x", 1)], "ds STRING, more DOUBLE, b STRING, a INT")
-    assert project_like(df, target).columns == ["a", "b", "ds"]
-    with pytest.raises(AnalysisException):
-        project_like(df.drop("b"), target)
+    assert project_like(df, target, extra="drop").columns == ["a", "b", "ds"]
+    with pytest.raises(ValueError, match="no column for more"):
+        project_like(df, target)
+    row = project_like(df.drop("b", "more"), target).first()
+    assert (row.a, row.b, row.ds) == (1, None, "d")
 
 
 @pytest.mark.parametrize("ds", ["2023-07-31", "2023-08-02", "2023-08-06"])

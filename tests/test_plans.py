@@ -4,11 +4,14 @@ import json
 
 import duckdb
 import pytest
+from compare import difference
 from pyspark.sql import functions as F
 
 from kickflow.operators import endpoints
+from kickflow.oracles import ORACLES
 from kickflow.queries import QUERIES
 from kickflow.schemas import INT, LONG, REAL, TEXT, struct_of
+from kickflow.session import stored
 from kickflow.sources import derived
 from kickflow.sources.replies import for_keys, land, of_endpoint, read_replies
 
@@ -35,7 +38,7 @@ def test_stays_in_the_jvm(spark, name):
 @pytest.fixture(scope="module")
 def landed(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("landed") / "replies")
-    land(derived.shotmap_replies(spark, SF_DIR, derived.month()), folder)
+    land(derived.line_replies(spark, SF_DIR, ["shotmap"], derived.month()), folder)
     return read_replies(spark, folder)
 
 
@@ -48,13 +51,15 @@ def test_days_and_endpoint_prune_partitions(landed):
 
 
 def test_lookup_leaves_bodies_in_place(landed):
-    keys = landed.select("key", "ds").where(F.col("ds") == "1998-01-01").distinct()
-    shots = of_endpoint(landed, "shotmap", "1998-01-01", "1998-01-01")
-    plan = plan_of(for_keys(shots, keys))
+    """Few keys are sent to the replies, so no exchange has bodies or all reply keys."""
+    keys, _ = stored(landed.select("key", "ds").where(F.col("ds") == "1998-01-01").distinct(), "keys")
+    plan = plan_of(for_keys(of_endpoint(landed, "shotmap"), keys))
     inner, anti = plan[: plan.index("LeftAnti")], plan[plan.index("LeftAnti") :]
     assert "BroadcastHashJoin" in inner and "SortMergeJoin" not in inner.split("Union")[0]
     scans = [line for line in anti.splitlines() if "FileScan" in line]
     assert scans and not any("body" in line for line in scans)
+    # What is exchanged in the anti part has met the keys.
+    assert "LeftSemi, BuildRight" in anti
 
 
 def test_status_filter_and_columns_reach_the_scan(landed):
@@ -78,13 +83,17 @@ def hot_dir(spark, tmp_path_factory):
     con.execute(f"""
         COPY (SELECT * FROM '{SF_DIR}/lineitem.parquet' UNION ALL
               SELECT 1000000, 5, 5, 1, 1.0, 1.0, 0.5, 0.5, 'A', 'F', TIMESTAMP '1997-05-05'
-              FROM range(60000) t(i)) TO '{folder}/lineitem.parquet'
+              FROM range(60000) t(i) UNION ALL
+              SELECT 1000001, i % 50, i % 7, 1 + i % 6, i % 40, i, 0.5, 0.1,
+                     CASE WHEN i % 5 = 0 THEN 'R' ELSE 'A' END,
+                     CASE WHEN i % 3 = 0 THEN 'O' ELSE 'F' END, TIMESTAMP '1997-05-05'
+              FROM range(13000) t(i)) TO '{folder}/lineitem.parquet'
     """)
     return str(folder)
 
 
 def test_pages_bound_the_reply_of_a_hot_key(spark, hot_dir):
-    replies = derived.shotmap_replies(spark, hot_dir).where("key = '1000000'")
+    replies = derived.line_replies(spark, hot_dir, ["shotmap"]).where("key = '1000000'")
     sizes = [row.n for row in replies.select(F.expr("json_array_length(get_json_object(body, '$.shotmap'))").alias("n")).collect()]
     assert sum(sizes) == 60000 and len(sizes) == 12
     assert max(sizes) < 1.2 * derived.PAGE_RECORDS
@@ -96,7 +105,7 @@ def test_pages_bound_the_reply_of_a_hot_key(spark, hot_dir):
 
 def test_hot_key_is_split_before_grouping(spark, hot_dir):
     """No task gets all lines of the hot order, and its pages stay spread."""
-    replies = derived.shotmap_replies(spark, hot_dir)
+    replies = derived.line_replies(spark, hot_dir, ["shotmap"])
     plan = plan_of(replies)
     assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(o_orderkey" in plan
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -107,31 +116,20 @@ def test_hot_key_is_split_before_grouping(spark, hot_dir):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_number_of_hot_keys_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(derived, "MAX_HOT_KEYS", 10)
-    monkeypatch.setattr(derived, "PAGE_RECORDS", 1)
-    rows = spark.range(1000).withColumn("key", F.col("id") % 70)
-    assert derived.page_size(rows) == 100
-    assert derived.hot_keys(rows, "key").count() <= 10
-
-
-@pytest.mark.parametrize("name", ["shotmap", "match_event", "matchday_football", "match_incident", "match_statistics", "match_summary", "match_lineups"])
+@pytest.mark.parametrize("name", ["shotmap", "match_event", "matchday_football", "match_incident", "match_statistics", "match_summary", "match_lineups", "match_lineups_both", "match_lineups_bad", "match_lineups_skip"])
 def test_hot_results_are_whole(spark, hot_dir, name):
-    from compare import difference
-
-    from __spark_entry__ import oracle_sql
-
+    """Several replies of one order give the rows of one."""
     con = duckdb.connect()
     for table in ("orders", "lineitem", "customer", "nation"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{hot_dir}/{table}.parquet'")
-    sql = oracle_sql()[name]
-    if name == "match_summary":
-        # Every page of the hot order lacks the away member, and says so.
-        pages = derived.summary_replies(spark, hot_dir).where("key = '1000000'").count()
-        got = QUERIES[name](spark, hot_dir).count()
-        assert got == con.execute(f"SELECT count(*) FROM ({sql})").fetchall()[0][0] + pages - 1
-    else:
-        assert difference(QUERIES[name](spark, hot_dir), sql, con) is None
+    assert difference(QUERIES[name](spark, hot_dir), ORACLES[name], con) is None
+
+
+def test_one_pass_over_the_lines(spark):
+    """All endpoints of the line items are made of one grouping."""
+    plan = plan_of(derived.line_replies(spark, SF_DIR, list(derived.SHAPES)))
+    lines = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
+    assert len(lines) == 1
 
 
 def test_long_reply_is_read_whole(spark, replies):

@@ -436,8 +436,30 @@ def test_shapes_are_inferred(replies):
     assert rows["b", "2"].l == [1, 2] and rows["b", "2"].p_deep_z is True
     assert rows["d", "odd"].status_code == 200
     assert rows["a", None].status_code is None
-    with pytest.raises(ValueError, match="no JSON object"):
-        endpoints.shotmap(replies(("c", 404, "{}")))
+
+
+@pytest.mark.parametrize("reply", [(404, "{}"), (None, None), (200, "{"), (200, "[]"), (200, "{}")])
+@pytest.mark.parametrize("name", ["shotmap", "match_event", "match_incident", "match_lineups", "match_manager", "match_statistics", "match_summary"])
+def test_nothing_to_infer(replies, name, reply):
+    """Failures alone give error rows of key, status and day."""
+    more = {"strict": False} if name == "match_statistics" else {}
+    df = getattr(endpoints, name)(replies(("k", *reply)), **more)
+    row = df.first().asDict()
+    whole = name == "match_manager" and reply == (200, "{}")
+    assert row["match_id"] == "k" and row["ds"] == "2023-08-02"
+    assert row["status_code"] == (reply[0] if reply[0] != 200 or whole else None)
+    assert df.count() == 1
+
+
+@pytest.mark.parametrize("body", ['{"events": []}', "{", '{"events": [1]}', '{"events": [{"x": 1}]}'])
+def test_match_list_without_ids(replies, body):
+    df = endpoints.matchday(replies(("2023-08-02", 200, body)))
+    assert df.count() == 0
+    assert {"match_id", "customId", "ds"} <= set(df.columns)
+
+
+def test_empty_arrays_give_no_rows(replies):
+    assert endpoints.shotmap(replies(("k", 200, '{"shotmap": []}'))).count() == 0
 
 
 def test_inferred_lineups_and_managers(replies):

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from kickflow.operators import endpoints
@@ -11,7 +10,7 @@ from kickflow.plans.daily import TABLES, crawl_days, run_day, run_days
 from kickflow.plans.job import DONE, SKIPPED, EmptyInput, JobConfig, run_job
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import INT, LONG, REPLIES, TEXT, struct_of
-from kickflow.session import checkpointed, shared_folder
+from kickflow.session import lookup_by_key, setting, checkpointed, shared_folder
 from kickflow.sinks import jdbc
 from kickflow.sinks.tables import (
     append,
@@ -58,8 +57,8 @@ def test_append_adds_and_reruns_duplicate(spark, target):
     append(df, target, ds=D2)
     assert counted(spark, target) == {D1: 3, D2: 6}
     assert spark.table(target).where("b <> concat('v', a)").count() == 0
-    with pytest.raises(AnalysisException):
-        append(df.drop("b"), target, ds=D1)
+    append(df.drop("b"), target, ds=D3)
+    assert spark.table(target).where((F.col("ds") == D3) & F.col("b").isNull()).count() == 3
 
 
 def test_replace_day(spark, target):
@@ -169,7 +168,7 @@ def test_job_steps_and_empty_input(spark, tmp_path):
     spark.createDataFrame([("shotmap", "1", 200, '{"shotmap": [{"id": 5}]}', D1)], REPLIES).write.json(folder)
     steps = []
     config = JobConfig("Src", "Shots", D1, {"in_path": folder})
-    assert (config.num_in_partition, config.num_out_partition, config.skip_empty) == (10, 1, False)
+    assert (config.num_in_partition, config.num_out_partition, config.skip_empty) == (10, None, False)
 
     def read():
         steps.append("read")
@@ -189,6 +188,10 @@ def test_job_steps_and_empty_input(spark, tmp_path):
     assert run(read) == DONE
     assert steps == ["before_read", "read", ["id", "match_id", "status_code", "ds"], [5]]
     assert read().rdd.getNumPartitions() == 10
+    parts = []
+    three = JobConfig("Src", "Shots", D1, {"in_path": folder}, num_out_partition=3)
+    run_job(three, read, lambda df: df, lambda df: parts.append(df.rdd.getNumPartitions()))
+    assert parts == [3]
     with pytest.raises(EmptyInput):
         run(lambda: None)
     skipping = JobConfig("Src", "Shots", D1, {"skip_empty": True})
@@ -206,8 +209,9 @@ def test_lookup(spark, replies):
     keys = spark.createDataFrame(
         [("1", D2), ("1", D2), ("2", D2), ("3", D2), ("9", D3), (None, D2)], "key STRING, ds STRING"
     )
-    for bound in (0, 100):
-        check_lookup(endpoints.shotmap(for_keys(frame, keys, bound), struct_of(id=INT)).collect())
+    for bound in ("-1", "10m"):
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", bound):
+            check_lookup(endpoints.shotmap(for_keys(frame, keys), struct_of(id=INT)).collect())
 
 
 def check_lookup(rows):
@@ -226,12 +230,14 @@ def test_bucketed_lookup_moves_no_bodies(spark, database, replies):
     land_bucketed(rows.select(REPLIES.names), table, buckets=4)
     keys = rows.select("key", "ds").where("key < '5'")
     raw = of_endpoint(spark.table(table), "shotmap")
-    found = for_keys(raw, keys, max_broadcast=0)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan
-    # The keys move twice, for the inner and for the anti part; no reply does.
-    assert plan.count("Exchange hashpartitioning(key") == plan.count("Exchange") == 2
-    assert found.count() == keys.count()
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), lookup_by_key(spark):
+        found = for_keys(raw, keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # The keys move to the replies; no reply with its body does.
+        inner = plan[: plan.index("LeftAnti")]
+        assert inner.count("Exchange hashpartitioning(key") == inner.count("Exchange") == 1
+        assert found.count() == keys.count()
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
 
 
 def test_fetch(spark):
@@ -296,27 +302,80 @@ def test_run_days(spark, database, write, tmp_path):
     audit = run_days(raw, database, D1, D2, write=write)
     counts = {(r.table_name, r.ds): (r.rows, r.reason) for r in audit.collect()}
     # Match 2 has no replies at all: one error row everywhere.
-    assert counts == {
-        ("matchday", D1): (2, None),
-        ("matchday", D2): (0, "status 503"),
-        ("shotmap", D1): (3, None),
-        ("match_event", D1): (2, None),
-        ("match_incident", D1): (2, None),
-        ("match_lineups", D1): (2, None),
-        ("match_manager", D1): (2, None),
-        ("match_statistics", D1): (1, None),
-        ("match_summary", D1): (2, None),
-    }
+    rows_of = dict.fromkeys(TABLES, 2) | {"shotmap": 3, "match_statistics": 1}
+    first = {(name, D1): (n, None) for name, n in rows_of.items()}
+    second = {(name, D2): (0, "no match list") for name in TABLES} | {("matchday", D2): (0, "status 503")}
+    assert counts == first | second
     again = run_days(raw, database, D1, D3, write=write)
-    factor = 2 if write == "append" else 1
     total = {(r.table_name, r.ds): r.rows for r in again.collect()}
-    assert total["shotmap", D1] == 3 * factor and total["shotmap", D3] == 2
+    # What this run has written, whatever the table held before.
+    assert total["shotmap", D1] == 3 and total["shotmap", D3] == 2
+    factor = 2 if write == "append" else 1
+    assert spark.table(f"{database}.shotmap").where(F.col("ds") == D1).count() == 3 * factor
+    unseen = run_days(raw, database, "2001-01-01", "2001-01-02", write=write).collect()
+    assert len(unseen) == 2 * len(TABLES)
+    assert {(r.table_name == "matchday", r.rows, r.reason) for r in unseen} == {
+        (True, 0, "no reply"), (False, 0, "no match list"),
+    }
     assert {row.tableName for row in spark.sql(f"SHOW TABLES IN {database}").collect()} == set(TABLES)
     assert again.where("seconds > 0").count() > 0
     with pytest.raises(ValueError):
         run_days(raw, database, D1, D1, write="merge")
 
 
+def test_events_are_looked_up_once(spark, database, tmp_path):
+    """Matches of one custom id do not multiply its events."""
+    matches = [match(n, custom="same") for n in range(30)]
+    events = json.dumps({"events": [{"id": n} for n in range(20)]})
+    rows = [
+        ("matchday", D1, 200, json.dumps({"events": matches}), D1),
+        ("match_event", "same", 200, events, D1),
+    ]
+    run_days(spark.createDataFrame(rows, REPLIES), database, D1, D1)
+    assert spark.table(f"{database}.match_event").count() == 20
+
+
+def test_failed_frame_loses_nothing(spark, target):
+    """Rows are made before any day goes."""
+    rows = spark.createDataFrame([(1, D1), (2, D2)], "a INT, ds STRING")
+    replace_range(rows, target, D1, D2)
+    broken = rows.withColumn("a", F.when(F.col("ds") == D2, F.raise_error("no")).otherwise(F.col("a")))
+    for frame in (broken, rows.withColumn("new", F.lit(1))):
+        with pytest.raises(Exception, match="no"):
+            replace_range(frame.select(F.col("a").cast("int").alias("a"), *frame.columns[1:]), target, D1, D2)
+        assert counted(spark, target) == {D1: 1, D2: 1}
+    assert replace_range(rows.where(F.col("ds") == D2), target, D1, D2) == {D2: 1}
+    assert counted(spark, target) == {D2: 1}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_shapes_drift(spark, target):
+    first = spark.createDataFrame([(1, "x", D1)], "a INT, x STRING, ds STRING")
+    append(first, target, residue="more")
+    append(first.drop("x"), target, residue="more")
+    append(first.withColumns({"y": F.lit(5), "z": F.lit("t")}), target, residue="more")
+    found = spark.table(target).select("a", "x", F.to_json("more").alias("more")).collect()
+    assert sorted(found, key=repr) == sorted(
+        [(1, "x", None), (1, None, None), (1, "x", '{"y":5,"z":"t"}')], key=repr
+    )
+
+
+def test_new_columns_are_named(spark, target):
+    first = spark.createDataFrame([(1, D1)], "a INT, ds STRING")
+    append(first, target)
+    with pytest.raises(ValueError, match="no column for y"):
+        append(first.withColumn("y", F.lit(1)), target)
+    append(first.withColumn("y", F.lit(1)), target, extra="drop")
+    assert counted(spark, target) == {D1: 2}
+
+
+def test_requests_are_spread(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("key"), F.lit(D1).alias("ds")).coalesce(1)
+    for connections, tasks in ((None, spark.sparkContext.defaultParallelism), (3, 3)):
+        sent = fetch_replies(keys, "shotmap", lambda *_: (200, "{}"), pause=0, connections=connections)
+        assert sent.select(F.spark_partition_id()).distinct().count() == tasks
+
+
 def test_crawl(spark, database, tmp_path):
     """A whole crawl from a stand-in feed, done twice."""
 
@@ -343,7 +402,7 @@ def test_crawl(spark, database, tmp_path):
     for ds in (D1, D3):
         assert {name: counts[name, ds][0] for name in TABLES if (name, ds) in counts} == {
             "matchday": 1, "shotmap": 2, "match_event": 2, "match_incident": 1,
-            "match_lineups": 1, "match_manager": 1, "match_summary": 1,
+            "match_lineups": 1, "match_manager": 1, "match_statistics": 0, "match_summary": 1,
         }
     assert spark.table(f"{database}.match_manager").where("status_code IS NULL").count() == 2
     one = run_day(read_replies(spark, str(tmp_path / "landing")), database, D1, options=manager)
