@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kickflow.llm.common import (
@@ -25,6 +27,13 @@ from kickflow.llm.components import components
 # with 1.8e-5.
 ROWS = 6
 BANDS = 36
+# Against rounding.
+SLACK = 1e-9
+# All pairs of a bucket of up to so many texts are compared, if its texts are not yet of one
+# class; in larger ones, those that share a rare shingle.
+BUCKET = 32
+# Hash values that tell which shingles two texts lack of each other.
+BITS = 2048
 
 _U = np.uint64
 
@@ -114,15 +123,11 @@ def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     return words.withColumn("key", F.unhex(F.md5("words")))
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, words: int, least: float) -> DataFrame:
-    """Those of the pairs (a, b) of keys whose texts' similarity is at least ``least``."""
-    keys = pairs.select(F.col("a").alias("key")).unionAll(pairs.select("b")).distinct()
-    texts = keyed.join(keys, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
-    texts = stored(texts, "texts")
-    both = (
-        pairs.join(texts.select(F.col("key").alias("a"), F.col("words").alias("left")), "a")
-        .join(texts.select(F.col("key").alias("b"), F.col("words").alias("right")), "b")
-    )
+def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(a, b, similarity) of pairs (a, b) of keys, whose words are in ``texts``."""
+    both = pairs.join(
+        texts.select(F.col("key").alias("a"), F.col("words").alias("left")).hint("merge"), "a"
+    ).join(texts.select(F.col("key").alias("b"), F.col("words").alias("right")).hint("merge"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "left"):
@@ -134,11 +139,119 @@ def _verified(pairs: DataFrame, keyed: DataFrame, words: int, least: float) -> D
                 t: (hashes[cuts[i] : cuts[i + 1]], weights[cuts[i] : cuts[i + 1]])
                 for i, t in enumerate(different)
             }
-            ok = [similarity(sets[x], sets[y]) >= least - 1e-9 for x, y in zip(left, right, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            found = [similarity(sets[x], sets[y]) for x, y in zip(left, right, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())],
+                ["a", "b", "similarity"],
+            )
 
     bounded_batches(pairs.sparkSession)
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
+    both = both.select("a", "b", "left", "right")
+    return both.mapInArrow(run, "a binary, b binary, similarity double")
+
+
+def _masks(texts: DataFrame, words: int) -> DataFrame:
+    """(key, mask, whole): which of ``BITS`` hash values a text's shingles have, and its weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "words", 1 << 20):
+            of, hashes, weights = weighted(batch.column("words").to_pylist(), words)
+            bits = hashes % _U(BITS)
+            masks = np.zeros((len(batch), BITS // 64), _U)
+            at = (of, (bits >> _U(6)).astype(np.int64))
+            np.bitwise_or.at(masks, at, _U(1) << (bits & _U(63)))
+            whole = np.bincount(of, weights, len(batch)).astype(np.int64)
+            flat = pa.array(masks.view(np.int64).ravel())
+            steps = pa.array(np.arange(len(batch) + 1) * (BITS // 64), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.ListArray.from_arrays(steps, flat), pa.array(whole)],
+                ["key", "mask", "whole"],
+            )
+
+    schema = "key binary, mask array<long>, whole long"
+    return stored(texts.select("key", "words").mapInArrow(run, schema), "masks")
+
+
+def _pairs_of(
+    rows: DataFrame, group: str, least: float, masks: DataFrame | None = None
+) -> DataFrame:
+    """Pairs (a, b) of keys that are in one group, but not yet of one root.
+
+    ``spent`` is the share of a text that a pair is known not to have in common; with shares
+    u and v, similarity is at most (1 - u) (1 - v) / (1 - u v). (Each term of the sum is at most
+    1 / (1 / p + v / q) for a shingle's shares p and q; this is concave, so the sum is at most
+    its value for the sums of p and q, which are at most 1 - u and 1 - v.) With ``masks``,
+    each hash value that the other text lacks is a shingle that it lacks.
+    """
+    mixed = rows.groupBy(group).agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    rows = rows.join(mixed.where("x <> y").select(group), group)
+    columns = ["root", "spent"]
+    if masks is not None:
+        rows = rows.join(masks.hint("merge"), "key")
+        columns += ["mask", "whole"]
+    left = rows.select(group, F.col("key").alias("a"), *columns)
+    right = rows.select(group, F.col("key").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+
+    def may_be_near(u: Column, v: Column) -> Column:
+        # Without a division, as both shares may be 1.
+        return (1 - u) * (1 - v) >= (least - SLACK) * (1 - u * v)
+
+    spent = F.col("spent"), F.col("spent_b")
+    wanted = (F.col("root") != F.col("root_b")) & (F.col("a") < F.col("b")) & may_be_near(*spent)
+    if masks is not None:
+
+        def lost(own: str, other: str, whole: str) -> Column:
+            words = [
+                F.bit_count(F.col(own)[i].bitwiseAND(F.bitwise_not(F.col(other)[i])))
+                for i in range(BITS // 64)
+            ]
+            return reduce(add, words) / F.col(whole)
+
+        u = F.greatest(spent[0], lost("mask", "mask_b", "whole"))
+        v = F.greatest(spent[1], lost("mask_b", "mask", "whole_b"))
+        # The masks are looked at only where the rest holds.
+        wanted = F.when(wanted, may_be_near(u, v)).otherwise(F.lit(False))
+    return left.join(right, group).where(wanted).select("a", "b")
+
+
+def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
+    """(shingle, key, root, spent): the rarest shingles of each text, of which near ones share one.
+
+    Similarity is at most the sum over shingles of the lesser of two texts' shares. So the
+    first shared shingle, in order of frequency, has before it at most ``1 - least`` of either
+    text (``spent``). This is exact, and what many texts have in common makes no candidates,
+    unless there is hardly anything else in them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "words", 1 << 20):
+            of, hashes, weights = weighted(batch.column("words").to_pylist(), words)
+            rows = pa.array(of)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key").take(rows),
+                    batch.column("root").take(rows),
+                    pa.array(hashes.view(np.int64)),
+                    pa.array(weights),
+                ],
+                ["key", "root", "shingle", "weight"],
+            )
+
+    schema = "key binary, root binary, shingle long, weight long"
+    rows = texts.select("key", "root", "words").mapInArrow(run, schema)
+    rows = stored(rows, "shingles")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
+    own = Window.partitionBy("key")
+    before = own.orderBy("often", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(often, "shingle").withColumns(
+        {
+            "before": F.coalesce(F.sum("weight").over(before), F.lit(0)),
+            "whole": F.sum("weight").over(own),
+        }
+    )
+    rows = rows.withColumn("spent", F.col("before") / F.col("whole"))
+    rows = rows.where((F.col("spent") <= 1 - least + SLACK) & (F.col("often") > 1))
+    return stored(rows.select("shingle", "key", "root", "spent"), "rare")
 
 
 def _classes(
@@ -166,27 +279,41 @@ def _classes(
     )
     nodes = sketched.groupBy("key").agg(F.first("bands").alias("bands"))
     members = stored(nodes.select("key", F.explode("bands").alias("bucket")), "buckets")
-    # A bucket's least key stands for it; a frequent bucket is combined before the shuffle.
-    buckets = members.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count("*").alias("n"))
-    buckets = stored(buckets.where("n > 1"), "pivots")
-    stars = members.join(buckets, "bucket").where("key <> pivot")
-    stars = stored(stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
-    links = stored(_verified(stars, keyed, words, least), "verified")
+    # A frequent bucket is combined before the shuffle.
+    counts = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(members.join(counts, "bucket"), "shared")
+    # What meets most others, like the text that many have been copied from, stands for its
+    # buckets: the others of a bucket are compared with it.
+    weight = shared.groupBy("key").agg(F.sum("n").alias("weight"))
+    heavy = F.max(F.struct("weight", "key")).alias("most")
+    pivots = shared.join(weight, "key").groupBy("bucket").agg(heavy, F.count("*").alias("n"))
+    pivots = stored(pivots.select("bucket", F.col("most.key").alias("pivot"), "n"), "pivots")
+    # All texts that may be compared, moved once.
+    wanted = shared.select("key").distinct().hint("merge")
+    texts = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
+    texts = stored(texts, "texts")
+    stars = shared.join(pivots, "bucket").where("key <> pivot")
+    stars = stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    stars = stored(_compared(stars, texts, words), "compared")
+    links = stars.where(F.col("similarity") >= least - SLACK)
     roots = stored(components(links), "roots")
-    # Pairs that no star held matter only where a bucket still has several components.
-    placed = members.join(buckets.where("n > 2").select("bucket"), "bucket").join(
-        roots, members["key"] == roots["node"], "left"
-    )
-    placed = placed.select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    # A pair without a pivot matters only where a bucket still has several components.
+    ends = roots.select(F.col("node").alias("key"), "root")
+    placed = members.join(pivots.where("n > 2"), "bucket").join(ends, "key", "left")
+    placed = placed.select("bucket", "n", "pivot", "key", F.coalesce("root", "key").alias("root"))
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     open_ = open_.where("x <> y").select("bucket")
-    placed = stored(placed.join(open_, "bucket"), "open")
-    right = placed.select("bucket", F.col("key").alias("b"), F.col("root").alias("other"))
-    more = placed.withColumnRenamed("key", "a").join(right, "bucket").where("root <> other AND a < b")
-    more = more.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(more, "pairs")
+    placed = stored(placed.where("key <> pivot").join(open_, "bucket"), "open")
+    few = placed.where(F.col("n") <= BUCKET).select("bucket", "key", "root", F.lit(0.0).alias("spent"))
+    few = _pairs_of(few, "bucket", least)
+    many = placed.where(F.col("n") > BUCKET).select("key", "root").distinct()
+    many = stored(many.join(texts.hint("merge"), "key"), "crowded")
+    rare = _pairs_of(_prefixes(many, words, least), "shingle", least, _masks(many, words))
+    more = few.unionByName(rare).distinct()
+    more = stored(more.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        links = links.unionAll(stored(_verified(more, keyed, words, least), "verified"))
+        found = stored(_compared(more, texts, words), "compared")
+        links = links.unionByName(found.where(F.col("similarity") >= least - SLACK))
         roots = stored(components(links), "roots")
     return sketched.select("id", "key"), roots
 
