@@ -198,7 +198,6 @@ def line_replies(
     each = F.array(
         *[F.struct(F.lit(name).alias("endpoint"), whole(name).alias("whole")) for name in endpoints]
     )
-    # A failed request has no body, so its replies need not be made.
     rows = answered.select("*", F.explode(each).alias("reply"))
     return rows.select(*outcome(F.col("reply.endpoint"), "o_orderkey", F.col("reply.whole"), "ds"))
 
