@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,13 +19,15 @@ from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 from kickflow.llm.common import bounded_batches, slices, stored
 
 LABELLED = 20_000
-UNLABELLED = 20_000
 ROUNDS = 5
 # In a round each view labels this share of the pool for the other, where it is this sure.
 SHARE = 0.05
 SURE = 0.9
 THRESHOLD = 0.5
 BUCKETS = 32
+# Steps of the logit in which the surest rows are counted, and their number.
+STEP = 0.001
+STEPS = 30_000
 
 _words = re.compile(r"\w+").findall
 TEXT_FEATURES = 20
@@ -110,10 +113,90 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
     return w
 
 
-def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> View:
-    mean, scale = x.mean(0), x.std(0)
-    scale[scale < 1e-9] = 1.0
-    return View(mean, scale, _logistic(np.clip((x - mean) / scale, -8, 8), y, weight, 1.0))
+def _sums(view: View, x: np.ndarray, y: np.ndarray, weight: float) -> list[np.ndarray]:
+    """Gradient and Hessian of the rows' logistic loss at the view's weights."""
+    x = np.column_stack([np.ones(len(x)), np.clip((x - view.mean) / view.scale, -8, 8)])
+    p = _probability(x @ view.weights)
+    return [x.T @ (weight * (p - y)), (x * (weight * p * (1 - p))[:, None]).T @ x]
+
+
+def _given(history: list, x: tuple) -> list[np.ndarray]:
+    """What labels (or -1) each view has been given for pool rows, after the rounds so far."""
+    given = [np.full(len(x[0]), -1) for _ in x]
+    for models, lines in history:
+        for i in (0, 1):
+            z, other = models[i].logit(x[i]), given[1 - i]
+            free = other < 0
+            other[free & (z >= lines[i][1])] = 1
+            other[free & (-z >= lines[i][0])] = 0
+        clash = (given[0] >= 0) & (given[1] >= 0) & (given[0] != given[1])
+        for pseudo in given:
+            pseudo[clash] = -1
+    return given
+
+
+def _fit(views: tuple, y: np.ndarray, history: list, total: Callable) -> list[View]:
+    """A view's model each, by Newton's method on sums over labelled rows and the pool."""
+
+    def moments(x: tuple) -> list[np.ndarray]:
+        taken = [v[g >= 0] for v, g in zip(x, _given(history, x), strict=True)]
+        return [z for t in taken for z in (np.array([len(t)]), t.sum(0), (t**2).sum(0))]
+
+    extra = total(moments) if history else None
+    models, steps = [], [np.inf, np.inf]
+    for i, x in enumerate(views):
+        sums = [np.array([len(x)]), x.sum(0), (x**2).sum(0)]
+        if extra:
+            sums = [a + b for a, b in zip(sums, extra[3 * i : 3 * i + 3], strict=True)]
+        mean = sums[1] / sums[0]
+        scale = np.sqrt(np.maximum(sums[2] / sums[0] - mean**2, 0))
+        scale[scale < 1e-6] = 1.0
+        models.append(View(mean, scale, np.zeros(x.shape[1] + 1)))
+
+    def slopes(x: tuple) -> list[np.ndarray]:
+        out = []
+        for model, v, g in zip(models, x, _given(history, x), strict=True):
+            out += _sums(model, v[g >= 0], g[g >= 0], 0.5)
+        return out
+
+    for _ in range(30):
+        extra = total(slopes) if history else None
+        for i, (model, x) in enumerate(zip(models, views, strict=True)):
+            gradient, hessian = _sums(model, x, y, 1.0)
+            if extra:
+                gradient, hessian = gradient + extra[2 * i], hessian + extra[2 * i + 1]
+            penalty = np.append(1e-6, np.ones(x.shape[1]))
+            step = np.linalg.solve(hessian + np.diag(penalty + 1e-9), gradient + penalty * model.weights)
+            model.weights = model.weights - step
+            steps[i] = np.abs(step).max()
+        if max(steps) < 1e-6:
+            break
+    return models
+
+
+def _lines(models: list[View], history: list, total: Callable, wanted: tuple[int, int]) -> list:
+    """Per view and label the logit from which on it labels rows: about ``wanted`` of the surest.
+
+    Rows are counted in steps of the logit; a step is taken whole, and the first in any case.
+    """
+    sure = float(np.log(SURE / (1 - SURE)))
+
+    def counts(x: tuple) -> list[np.ndarray]:
+        out, given = [], _given(history, x)
+        for i in (0, 1):
+            z = models[i].logit(x[i])[given[1 - i] < 0]
+            for side in (-z, z):
+                at = np.minimum((side[side >= sure] - sure) / STEP, STEPS - 1).astype(int)
+                out.append(np.bincount(at, minlength=STEPS))
+        return out
+
+    lines = []
+    for j, n in enumerate(total(counts)):
+        down = np.cumsum(n[::-1])
+        some = np.flatnonzero(down)
+        taken = max(int(np.searchsorted(down, wanted[j % 2], "right")), int(some[0]) + 1 if len(some) else 0)
+        lines.append(sure + STEP * (STEPS - taken) if len(some) else np.inf)
+    return [lines[:2], lines[2:]]
 
 
 def _probability(logit: np.ndarray) -> np.ndarray:
@@ -136,49 +219,37 @@ def co_train(
     text: np.ndarray,
     metadata: np.ndarray,
     labels: np.ndarray,
-    pool_text: np.ndarray,
-    pool_metadata: np.ndarray,
+    pool_text: np.ndarray | None = None,
+    pool_metadata: np.ndarray | None = None,
     rounds: int = ROUNDS,
     share: float = SHARE,
+    total: Callable | None = None,
+    n_pool: int | None = None,
 ) -> Model:
     """Two views teach each other on the pool, then are calibrated and combined.
 
     Every third labelled row calibrates and is not learnt from. In a round each view gives the
-    other the pool rows it is surest of, equally many per label as the labels' shares ask for;
+    other the pool rows it is surest of, as many per label as the labels' shares ask for;
     what both have been given with different labels is dropped. Pseudo-labels weigh a half.
+    Of the pool only sums are needed: ``total`` adds up what a function returns for its parts.
     """
     views, pools = (text, metadata), (pool_text, pool_metadata)
+    if total is None:
+        total, n_pool = (lambda part: part(pools)), len(pool_text)
     aside = np.arange(len(labels)) % 3 == 2
     if len(np.unique(labels[~aside])) < 2 or len(np.unique(labels[aside])) < 2:
         aside = np.zeros(len(labels), bool)
     learn, check = ~aside, aside if aside.any() else ~aside
-    given = [np.full(len(pool_text), -1) for _ in views]  # pseudo-labels that a view learns from
     positive = labels[learn].mean()
-    models: list[View] = []
-    for turn in range(rounds + 1):
-        models = []
-        for x, pool, pseudo in zip(views, pools, given, strict=True):
-            taken = pseudo >= 0
-            models.append(
-                _fit(
-                    np.vstack([x[learn], pool[taken]]),
-                    np.append(labels[learn], pseudo[taken]).astype(float),
-                    np.append(np.ones(learn.sum()), np.full(taken.sum(), 0.5)),
-                )
-            )
-        if turn == rounds or not len(pool_text):
-            break
-        n = max(1, int(share * len(pool_text)))
-        for i in (0, 1):
-            p = _probability(models[i].logit(pools[i]))
-            other = given[1 - i]
-            for label, sure, rate in ((1, p, positive), (0, 1 - p, 1 - positive)):
-                free = np.flatnonzero((other < 0) & (sure >= SURE))
-                best = free[np.argsort(-sure[free], kind="stable")][: max(1, int(n * rate))]
-                other[best] = label
-        clash = (given[0] >= 0) & (given[1] >= 0) & (given[0] != given[1])
-        for pseudo in given:
-            pseudo[clash] = -1
+    history: list = []
+    learnt = tuple(x[learn] for x in views)
+    models = _fit(learnt, labels[learn].astype(float), history, total)
+    n = max(1, int(share * n_pool))
+    wanted = (max(1, int(n * (1 - positive))), max(1, int(n * positive)))
+    for _ in range(rounds if n_pool else 0):
+        history.append((models, _lines(models, history, total, wanted)))
+        models = _fit(learnt, labels[learn].astype(float), history, total)
+    models = [View(m.mean, m.scale, m.weights) for m in models]
     for model, x in zip(models, views, strict=True):
         line = _logistic(model.logit(x[check])[:, None], labels[check], np.ones(check.sum()), 1e-2)
         if line[1] > 0:
@@ -221,6 +292,11 @@ def features(docs: DataFrame, id: str, text: str, categories: list[str], length:
 FLOATS = pa.list_(pa.float32())
 
 
+def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    flat = [batch.column(x).flatten().to_numpy() for x in ("text_view", "metadata_view")]
+    return tuple(x.astype(float).reshape(len(batch), -1) if len(batch) else np.zeros((0, 0)) for x in flat)
+
+
 def quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -231,13 +307,12 @@ def quality(
     label_id: str = "doc_id",
     label: str = "quality",
     labelled: int = LABELLED,
-    unlabelled: int = UNLABELLED,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``score``, ``text_score``, ``metadata_score``.
 
     Scores are probabilities of label 1. The classifiers learn from at most ``labelled`` rows
-    with a label (0 or 1; the highest, if a document has several) and ``unlabelled`` ones
-    without, the first by a hash of the id. Null texts count as empty, null metadata is a value
+    with a label (0 or 1; the highest, if a document has several), the first by a hash of the
+    id, and all rows without. Null texts count as empty, null metadata is a value
     of its own; a null id has no label. With labels of one kind alone every score is that
     label, and 0.5 without any. An empty table gives an empty table.
     """
@@ -246,7 +321,6 @@ def quality(
     marks = marks.where("label IN (0, 1)").groupBy("i").agg(F.max("label").alias("label"))
     joined = rows.join(marks, rows["id"] == marks["i"], "left").withColumn("order", F.xxhash64("id"))
     known = joined.where("label IS NOT NULL").orderBy("order", "id", "text_view").limit(labelled).collect()
-    pool = joined.where("label IS NULL").orderBy("order", "id", "text_view").limit(unlabelled).collect()
     y = np.array([r.label for r in known], float)
     if len(set(y.tolist())) < 2:
         flat = float(y[0]) if len(y) else 0.5
@@ -256,12 +330,31 @@ def quality(
         )
     matrix = lambda rows, name, width: np.array([r[name] for r in rows], float).reshape(len(rows), width)
     width = 2 + BUCKETS * len(categories)
+    pool = stored(joined.where("label IS NULL").select("text_view", "metadata_view"), "pool")
+
+    def total(part: Callable) -> list[np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for batch in batches:
+                if not len(batch):
+                    continue
+                found = part(_views(batch))
+                sums = found if sums is None else [a + b for a, b in zip(sums, found, strict=True)]
+            if sums is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(pickle.dumps(sums), 1)])], ["sums"])
+
+        parts = None
+        for row in pool.mapInArrow(run, "sums binary").collect():
+            found = pickle.loads(zlib.decompress(row.sums))
+            parts = found if parts is None else [a + b for a, b in zip(parts, found, strict=True)]
+        return parts
+
     model = co_train(
         matrix(known, "text_view", TEXT_FEATURES),
         matrix(known, "metadata_view", width),
         y,
-        matrix(pool, "text_view", TEXT_FEATURES),
-        matrix(pool, "metadata_view", width),
+        total=total,
+        n_pool=pool.count(),
     )
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([StructField("doc_id", rows.schema["id"].dataType)])
@@ -270,8 +363,7 @@ def quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = [batch.column(x).flatten().to_numpy() for x in ("text_view", "metadata_view")]
-            found = held.value.score(*[x.astype(float).reshape(len(batch), -1) for x in flat])
+            found = held.value.score(*_views(batch))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *[pa.array(x) for x in found]], schema.names
             )

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from kickflow.llm import cotraining
 from kickflow.llm.cotraining import co_train, metadata_features, quality, text_features
 from kickflow.llm.queries import QUERIES
 
@@ -65,3 +66,14 @@ def test_empty_table(spark, documents):
 def test_features_of_nothing():
     assert len(text_features(None)) == len(text_features("A b!")) == 20
     assert metadata_features([None, ""], None) != metadata_features(["", ""], 0)
+
+
+def test_whole_pool_takes_part(spark, documents, monkeypatch):
+    """More unlabelled rows than were once drawn: all of them are shown to the views."""
+    seen = []
+    whole = cotraining.co_train
+    monkeypatch.setattr(cotraining, "co_train", lambda *a, **k: seen.append((k["n_pool"], k["total"](lambda x: [np.array(len(x[0]))]))) or whole(*a, **k, rounds=1))
+    docs = spark.range(20_150).selectExpr("id AS doc_id", "if(id % 2 = 0, repeat('good words. ', 1 + id % 9), repeat('BAD!! ', 1 + id % 9)) AS text", "'en' AS lang", "'s' AS source", "id AS n_chars")
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(100)], "doc_id long, quality int")
+    assert quality(docs, labels).count() == 20_150
+    assert seen[0] == (20_050, [20_050])
