@@ -12,15 +12,18 @@ from kickflow.llm import (
     decontamination,
     exact_dedup,
     near_dedup,
+    periodic,
     sharding,
     suffix_dedup,
     toxicity,
     url_filter,
     warc,
+    word_bpe,
 )
 from kickflow.session import shared_folder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 URL_RULES = [
     ("block", "net/"),
     ("allow", "example.net/en/"),
@@ -149,6 +152,59 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped(id: F.Column, text: F.Column) -> F.Column:
+    """A tenth of the texts, by id, from some word on with a stretch of words again and again."""
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.nullif(F.size(words), F.lit(0)).cast("long")
+    hash = F.crc32(id.cast("string"))
+    turn = F.floor(hash / 10).cast("long")
+    first = turn % n
+    times = 3 + turn % 8
+    period = 1 + F.floor((n - first) / times).cast("long")
+    cycle = F.slice(words, (first + 1).cast("int"), period.cast("int"))
+    # The period is longer than that part of the rest, so it fits less often than that.
+    rest = F.slice(F.flatten(F.array_repeat(cycle, times.cast("int"))), F.lit(1), (n - first).cast("int"))
+    made = F.array_join(F.concat(F.slice(words, F.lit(1), first.cast("int")), rest), " ")
+    return F.when((hash % 10 == 0) & n.isNotNull(), made).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs).withColumn(
+        "best",
+        # Runs come by start, then period: the first of the greatest exponent stays.
+        F.reduce(
+            "runs",
+            F.get("runs", F.lit(0)),
+            lambda a, b: F.when(b.length * a.period > a.length * b.period, b).otherwise(a),
+        ),
+    )
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", *[r[x].cast("string") for x in ("start", "length", "period")]), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = word_bpe.round_trip(docs, public_tokenizers.path(WORDS))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_repeated_strings": op2_repeated_strings,
@@ -160,4 +216,6 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_word_bpe": op12_word_bpe,
 }

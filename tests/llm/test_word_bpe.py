@@ -1,0 +1,136 @@
+import hashlib
+import json
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from kickflow.llm import word_bpe
+from kickflow.llm.queries import QUERIES, WORDS
+
+PATH = public_tokenizers.path(WORDS)
+LIBRARY = Tokenizer.from_file(PATH)
+with open(PATH, encoding="utf-8") as file:
+    SPEC = file.read()
+CODER = word_bpe.Coder(SPEC)
+
+
+def wanted(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    return np.array(ids, "<u4").tobytes(), LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def test_query_against_the_library(spark):
+    path = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in QUERIES["op12_word_bpe"](spark, path).collect()}
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    assert len(found) == len(docs)
+    for doc in docs:
+        ids, text = wanted(doc.text or "")
+        row = found[doc.doc_id]
+        assert row.n_tokens == len(ids) // 4
+        assert row.ids_sha256 == hashlib.sha256(ids).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    ids, decoded = wanted(text)
+    assert CODER.encode(text) == ids
+    assert CODER.decode(np.frombuffer(ids, "<u4")).decode() == decoded
+
+
+@pytest.mark.parametrize(
+    "alphabet", ["ab", "etaoinshrdlu", "日本語éßİΣσς ΑΣ", "'s't<|>endoftext startoftext|", "\x1c\x85 \n​ab1２¼٣", "ﬁÅ̊́e", "a!\U0003d000\u0558\U000323b0é1"]
+)
+def test_like_texts(alphabet):
+    rng = random.Random(alphabet)
+    for _ in range(1000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+        if rng.random() < 0.2:
+            text += "<|endoftext|>" + text + "<|startoftext|><|endoftext|>"
+        assert CODER.encode(text) == wanted(text)[0]
+
+
+def test_long_word():
+    rng = random.Random(1)
+    for alphabet in ("a", "ab", "abcdefgh"):
+        word = "".join(rng.choice(alphabet) for _ in range(100_000))
+        assert CODER.encode(word) == wanted(word)[0]
+
+
+def merged(merges, word):
+    """The merges one by one: the pair of least rank, the leftmost of its like."""
+    parts = list(word[:-1]) + [word[-1] + "</w>"]
+    rank = {tuple(pair): i for i, pair in enumerate(merges)}
+    while len(parts) > 1:
+        best = min((rank.get(p, 1 << 30), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
+        if best[0] == 1 << 30:
+            break
+        i = best[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
+
+
+def test_invented_merges():
+    """Vocabularies whose tokens overlap in every way, some of which no text ever gives."""
+    rng = random.Random(2)
+    for _ in range(60):
+        symbols = word_bpe.byte_symbols()
+        names = [*symbols, *[s + "</w>" for s in symbols]]
+        pool, merges = ["a", "b", "a</w>", "b</w>"], []
+        while len(merges) < 25:
+            left, right = rng.choice(pool), rng.choice(pool)
+            if left.endswith("</w>") or left + right in pool:
+                continue
+            merges.append([left, right])
+            pool.append(left + right)
+        spec = json.loads(SPEC)
+        tokens = [*names, *(a + b for a, b in merges)]
+        spec["model"] |= {"vocab": {t: i for i, t in enumerate(tokens)}, "merges": merges}
+        spec["added_tokens"] = []
+        coder = word_bpe.Coder(json.dumps(spec))
+        for _ in range(60):
+            word = "".join(rng.choice("ab") for _ in range(rng.randint(1, 25)))
+            ids = np.frombuffer(coder.encode(word), "<u4")
+            assert [tokens[i] for i in ids] == merged(merges, word)
+
+
+def test_small_memory(monkeypatch):
+    monkeypatch.setattr(word_bpe, "KNOWN_PIECES", 3)
+    monkeypatch.setattr(word_bpe, "KNOWN_PAIRS", 2)
+    monkeypatch.setattr(word_bpe, "GATHERED", 5)
+    coder = word_bpe.Coder(SPEC)
+    for text in ("one two three four five six one two", "unheard-of wordlikenesses", ""):
+        ids, decoded = wanted(text)
+        assert coder.encode(text) == ids
+        assert coder.decode(np.frombuffer(ids, "<u4")).decode() == decoded
+
+
+def test_order_of_merges_is_checked():
+    spec = json.loads(SPEC)
+    spec["model"]["merges"].reverse()
+    with pytest.raises(ValueError, match="merge"):
+        word_bpe.Coder(json.dumps(spec))
+
+
+def test_frames(documents):
+    rows = [(1, "A b"), (1, "A b"), (None, None), (2, ""), (3, "x" * 200_000), (4, "\x00\x1c \u0085\n")]
+    docs = documents(*rows).withColumnRenamed("found", "token_ids")
+    coded = word_bpe.encode(docs, PATH)
+    assert coded.columns == [c for c in docs.columns if c != "token_ids"] + ["n_tokens", "token_ids"]
+    both = word_bpe.round_trip(docs, PATH)
+    assert both.drop("decoded").collect() == coded.collect()
+    assert word_bpe.decode(coded, PATH).collect() == both.collect()
+    for r in both.collect():
+        ids, decoded = wanted(r.text or "")
+        assert (bytes(r.token_ids), r.decoded, r.n_tokens) == (ids, decoded, len(ids) // 4)
+    assert word_bpe.round_trip(docs.where("false"), PATH).count() == 0
+    beyond = coded.limit(1).selectExpr("X'FFFFFFFF00000000' AS token_ids")
+    assert word_bpe.decode(beyond, PATH).first().decoded == "!"
+    assert word_bpe.decode(beyond.selectExpr("CAST(NULL AS BINARY) AS token_ids"), PATH).first().decoded == ""
