@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from kickflow.llm import (
+    alignment,
     bpe,
     cotraining,
     decontamination,
@@ -20,10 +21,12 @@ from kickflow.llm import (
     warc,
     word_bpe,
 )
+from kickflow.llm.common import stored
 from kickflow.session import shared_folder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORDS = "word_bpe_49k.json"
+ALIGNED_PAIR = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 URL_RULES = [
     ("block", "net/"),
     ("allow", "example.net/en/"),
@@ -205,6 +208,17 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = map(public_tokenizers.path, ALIGNED_PAIR)
+    found = alignment.aligned(docs, *paths, public_tokenizers.PATTERN).drop("text")
+    groups = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    found = alignment.linked(stored(found.withColumn("groups", groups), "aligned"))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_repeated_strings": op2_repeated_strings,
@@ -218,4 +232,5 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_word_bpe": op12_word_bpe,
+    "op13_alignment": op13_alignment,
 }

@@ -1,0 +1,146 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from kickflow.llm import alignment
+from kickflow.llm.common import stored
+from kickflow.llm.queries import ALIGNED_PAIR, QUERIES
+from kickflow.llm.word_bpe import byte_symbols
+
+PATHS = [*map(public_tokenizers.path, ALIGNED_PAIR)]
+LEFT = Tokenizer.from_file(PATHS[0])
+LEFT.encode_special_tokens = True
+RIGHT = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+BYTE = {name: b for b, name in enumerate(byte_symbols())}
+
+
+def left_bytes(id):
+    return bytes(BYTE[c] for c in LEFT.id_to_token(id))
+
+
+def right_bytes(id):
+    name = RIGHT.id_to_piece(id)
+    return bytes([int(name[1:-1], 16)]) if RIGHT.is_byte(id) else name.replace("▁", " ").encode()
+
+
+def spans(ids, bytes_of):
+    out, at = [], 0
+    for id in ids:
+        out.append((id, at, at := at + len(bytes_of(id))))
+    return out
+
+
+def brute(texts):
+    """Per text: tokens, groups and all overlapping occurrences, two by two."""
+    found, holders = [], Counter()
+    for text in texts:
+        a = LEFT.encode(" " + (text or ""), add_special_tokens=False).ids
+        b = RIGHT.encode(text or "")
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(map(left_bytes, a)) != whole or b"".join(map(right_bytes, b)) != whole:
+            found.append((0, 0, [], []))
+            continue
+        a_spans, b_spans = spans(a, left_bytes), spans(b, right_bytes)
+        links, first = [], 0
+        for x, start, end in a_spans:
+            while b_spans[first][2] <= start:
+                first += 1
+            for y, b_start, b_end in b_spans[first:]:
+                if b_start >= end:
+                    break
+                links.append((x, y))
+        cuts = sorted({e for _, _, e in a_spans} & {e for _, _, e in b_spans})
+        groups = defaultdict(lambda: ([], []))
+        for side, of in enumerate((a_spans, b_spans)):
+            at = 0
+            for id, _, end in of:
+                while cuts[at] < end:
+                    at += 1
+                groups[at][side].append(str(id))
+        groups = [f"{','.join(g[0])}|{','.join(g[1])}" for _, g in sorted(groups.items())]
+        holders.update(set(links))
+        found.append((len(a), len(b), groups, links))
+    most = defaultdict(int)
+    for (x, _), n in holders.items():
+        most[x] = max(most[x], n)
+    return [
+        (
+            n_a,
+            n_b,
+            len(groups),
+            len(links),
+            sum(holders[link] == most[link[0]] for link in links),
+            sum(holders[link] for link in links),
+            ";".join(groups),
+        )
+        for n_a, n_b, groups, links in found
+    ]
+
+
+def test_query(spark):
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()
+    rows = {r.doc_id: tuple(r)[1:] for r in QUERIES["op13_alignment"](spark, path).collect()}
+    assert len(rows) == len(docs)
+    for doc, row in zip(docs, brute([d.text for d in docs]), strict=True):
+        digest = hashlib.sha256(row[-1].encode()).hexdigest() if row[0] else ""
+        assert rows[doc.doc_id] == (*row[:-1], digest)
+
+
+ODD = [
+    "",
+    None,
+    "a",
+    "same words",
+    "same words",
+    "a ▁ b",  # the piece for a space
+    "<|endoftext|> <s> <unk> <0x41>",
+    "  two  spaces \t tab\nline ",
+    "日本語 🏳️‍🌈 é é ﬁ",
+    "x" * 5000,
+    "\x00\x1c\u0085 ",
+    " ",
+    "ſß İ ǅ ½ ①",
+]
+
+
+@pytest.mark.parametrize("slice_bytes,block_bytes,held", [(2 << 20, 16 << 20, 1 << 19), (20, 40, 4)])
+def test_odd_texts(documents, monkeypatch, slice_bytes, block_bytes, held):
+    monkeypatch.setattr(alignment, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(alignment, "HELD_PAIRS", held)
+    docs = documents(*enumerate(ODD), (None, "same words")).withColumnRenamed("found", "block")
+    found = stored(alignment.aligned(docs, *PATHS, public_tokenizers.PATTERN), "aligned")
+    assert found.columns == [c for c in docs.columns if c != "block"] + list(alignment.ALIGNED)
+    out = alignment.linked(found)
+    wanted = brute([*ODD, "same words"])
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
+    got = {r.doc_id: tuple(r[x] for x in names) for r in out.collect()}
+    assert got == dict(zip([*range(len(ODD)), None], wanted, strict=True))
+
+
+def test_no_documents(documents):
+    docs = documents((1, "a")).where("false")
+    found = stored(alignment.aligned(docs, *PATHS, public_tokenizers.PATTERN), "aligned")
+    assert alignment.linked(found).count() == 0
+
+
+def test_partial_counts_of_blocks(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [(b, [p, p + 1]) for b in (1, 2) for p in range(40)], "block long, pairs array<long>"
+    ).coalesce(1)
+    wanted = Counter((b, x) for b in (1, 2) for p in range(40) for x in (p, p + 1))
+    for held in (3, 1 << 19):
+        monkeypatch.setattr(alignment, "HELD_PAIRS", held)
+        found = alignment.partial_counts(rows).groupBy("block", "pair").sum("n").collect()
+        assert {(r[0], r[1]): r[2] for r in found} == wanted
+
+
+def test_only_drops_whole_lists():
+    ids = pa.array([[1, 2], [], [3], [4, 5]], pa.list_(pa.int32()))
+    assert alignment._only(ids, [True, False, False, True]).to_pylist() == [[1, 2], [], [], [4, 5]]
