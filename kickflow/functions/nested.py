@@ -89,7 +89,15 @@ def project_like(
     """
     if extra not in ("raise", "drop"):
         raise ValueError("extra must be 'raise' or 'drop'")
-    schema = df.sparkSession.table(table).schema
+    return project_onto(df, df.sparkSession.table(table).schema, table, extra, residue)
+
+
+def project_onto(
+    df: DataFrame, schema: T.StructType, table: str, extra: str = "raise", residue: str | None = None
+) -> DataFrame:
+    """As ``project_like``, onto given columns; ``extra="add"`` puts new ones after them."""
+    if extra not in ("raise", "drop", "add"):
+        raise ValueError("extra must be 'raise', 'drop' or 'add'")
     held = {name.lower() for name in schema.names}
     own = {name.lower() for name in df.columns}
     new = [name for name in df.columns if name.lower() not in held]
@@ -104,4 +112,5 @@ def project_like(
             return F.col(quoted(field.name))
         return F.lit(None).cast(field.dataType)
 
-    return df.select(*[value(field).alias(field.name) for field in schema])
+    added = [F.col(quoted(name)) for name in new] if extra == "add" and not packed else []
+    return df.select(*[value(field).alias(field.name) for field in schema], *added)

@@ -308,13 +308,14 @@ ORACLES |= {
     FROM content
     """,
     "backfill": f"""
-    WITH {_contents(f"{_WEEK} NOT IN {_NO_LIST}", _WEEK)},
+    WITH {_contents(f"{_DAY} NOT IN {_NO_LIST}", _DAY)},
     days AS (
       SELECT strftime(unnest(generate_series(
-               TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)), '%Y-%m-%d') AS ds
+               (SELECT date_trunc('day', min(o_orderdate)) FROM orders),
+               (SELECT date_trunc('day', max(o_orderdate)) FROM orders), INTERVAL 1 DAY)), '%Y-%m-%d') AS ds
     ),
     reasons AS (
-      SELECT ds, CASE WHEN ds NOT IN (SELECT {_WEEK} FROM orders) THEN 'no reply'
+      SELECT ds, CASE WHEN ds NOT IN (SELECT {_DAY} FROM orders) THEN 'no reply'
                       ELSE {_REASON} END AS reason
       FROM days
     ),

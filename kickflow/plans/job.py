@@ -10,6 +10,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
+from kickflow.sinks.tables import append, table_name
+
 log = logging.getLogger(__name__)
 
 DONE = "done"
@@ -54,7 +56,8 @@ def run_job(
     """Run the steps in order and return ``done`` or ``skipped``.
 
     ``export`` gets ``num_out_partition`` partitions if the job has that number, else as
-    many as there are.
+    many as there are. A sink that deals rows out by itself has to be given the number too
+    (``table_export`` does).
     """
     start = time.monotonic()
     log.info("%s: reading its input", config.identity)
@@ -75,3 +78,13 @@ def run_job(
     export(df)
     log.info("%s: finished after %.3f s", config.identity, time.monotonic() - start)
     return DONE
+
+
+def table_export(config: JobConfig, **more: Any) -> Callable[[DataFrame], None]:
+    """The export that appends to the job's table, in as many files as the job asks for."""
+    table = table_name(config.source_id, config.in_file)
+
+    def export(df: DataFrame) -> None:
+        append(df, table, num_out=config.num_out_partition, **more)
+
+    return export

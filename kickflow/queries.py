@@ -15,7 +15,7 @@ from kickflow.functions.nested import fill_text_nulls
 from kickflow.operators import endpoints
 from kickflow.plans import daily
 from kickflow.plans.daily import run_days
-from kickflow.plans.job import JobConfig, run_job
+from kickflow.plans.job import JobConfig, run_job, table_export
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import FLAG, INT, LONG, REAL, REPLIES, TEXT, struct_of
 from kickflow.session import configure, shared_folder, stored
@@ -32,9 +32,6 @@ from kickflow.sources.files import read_files
 from kickflow.sources.replies import for_keys, land, of_endpoint, read_replies
 from kickflow.streaming.incremental import take_in
 
-# Orders are of these days.
-FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
-
 
 MATCH = struct_of(
     id=LONG,
@@ -235,9 +232,9 @@ def column_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(name,) for name in incidents.columns], "column_name STRING")
 
 
-def _landed(spark: SparkSession, sf_dir: str, ds: Column | None = None) -> DataFrame:
+def _landed(spark: SparkSession, sf_dir: str, ds: Column, **layout) -> DataFrame:
     folder = shared_folder(spark, "landing")
-    land(derived.all_replies(spark, sf_dir, ds), folder)
+    land(derived.all_replies(spark, sf_dir, ds), folder, **layout)
     return read_replies(spark, folder)
 
 
@@ -282,11 +279,16 @@ def run_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A crawl per week, all weeks in one run, then one month again: rows, content and reason per table and day."""
-    replies = _landed(configure(spark), sf_dir)
+    """All days from the first order to the last in one run, twice: rows, content and reason per table and day.
+
+    The second run puts every day in the place of itself, in all tables by one commit.
+    """
+    replies = _landed(configure(spark), sf_dir, derived.day(), folder_per_day=False)
     source = _database(spark, "backfill")
-    audit = run_days(replies, source, FIRST_DAY, LAST_DAY, RUN_OPTIONS)
-    run_days(replies, source, "1997-03-01", "1997-03-31", RUN_OPTIONS)
+    orders = derived.table(spark, sf_dir, "orders")
+    first, last = orders.agg(F.min(derived.day()), F.max(derived.day())).first()
+    for _ in range(2):
+        audit = run_days(replies, source, first, last, RUN_OPTIONS, unit="year")
     held = _content(spark, source)
     return audit.join(held, ["table_name", "ds"], "left").select(
         "table_name", "ds", "rows", F.coalesce("n", F.lit(0)).alias("held"), "ids", "total", "reason"
@@ -319,12 +321,10 @@ def file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read() -> DataFrame:
         return read_files(spark, config, REPLIES)
 
-    def export(df: DataFrame) -> None:
-        append(df, target)
-
     def etl(df: DataFrame) -> DataFrame:
         return endpoints.shotmap(df, SHOT)
 
+    export = table_export(config)
     run_job(config, read, etl, export)
     run_job(config, lambda: read().where(F.lit(False)), etl, export, no_rows_is_empty=True)
     return spark.table(target)

@@ -1,0 +1,220 @@
+"""Commits of several tables at once: what readers see before, between and after."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kickflow.operators import endpoints
+from kickflow.plans.daily import TABLES, run_days, store_of
+from kickflow.schemas import REPLIES
+from kickflow.session import shared_folder
+from kickflow.sinks import store as stores
+from kickflow.sinks.store import Conflict, Store, publish
+from kickflow.sinks.tables import append, append_counted, replace_days, replace_range, table_name
+
+D1, D2, D3, D4 = "2023-08-01", "2023-08-02", "2023-08-03", "2023-09-01"
+
+
+@pytest.fixture(params=["day", "month", "year"])
+def store(spark, request):
+    return Store(spark, shared_folder(spark, "store"), request.param)
+
+
+def days(spark, **counts):
+    rows = [(n, f"v{n}", ds.replace("_", "-")[1:]) for ds, count in counts.items() for n in range(count)]
+    return spark.createDataFrame(rows, "a INT, b STRING, ds STRING")
+
+
+def held(store, table, **more):
+    return {r.ds: r["count"] for r in store.read(table, **more).groupBy("ds").count().collect()}
+
+
+def test_rows_count_with_their_commit(spark, store):
+    one = store.stage("t", days(spark, d2023_08_01=3, d2023_08_03=2, d2023_09_01=1))
+    assert one.counts == {D1: 3, D3: 2, D4: 1}
+    with pytest.raises(KeyError):
+        store.read("t")
+    assert store.commit([one]) == 1
+    assert held(store, "t") == {D1: 3, D3: 2, D4: 1}
+    two = store.stage("t", days(spark, d2023_08_02=5, d2023_08_03=1), D2, D3)
+    assert held(store, "t") == {D1: 3, D3: 2, D4: 1}
+    assert store.commit([two], D2, D3) == 2
+    assert held(store, "t") == {D1: 3, D2: 5, D3: 1, D4: 1}
+    assert held(store, "t", version=1) == {D1: 3, D3: 2, D4: 1}
+    assert held(store, "t", first=D2, last=D3) == {D2: 5, D3: 1}
+    assert store.state().tables["t"].rows() == {D1: 3, D2: 5, D3: 1, D4: 1}
+    store.commit([store.stage("t", days(spark).limit(0), D1, D1)], D1, D1)
+    assert held(store, "t") == {D2: 5, D3: 1, D4: 1}
+    store.commit([store.stage("t", days(spark, d2023_08_02=1))], append=True)
+    assert held(store, "t") == {D2: 6, D3: 1, D4: 1}
+    assert held(store, "t", first="2001-01-01", last="2001-01-02") == {}
+    assert store.read("t").where("b <> concat('v', a)").count() == 0
+
+
+def test_nothing_is_written_twice(spark, store):
+    store.commit([store.stage("t", days(spark, d2023_08_01=3, d2023_08_02=3))])
+    before = {r[0] for r in store.read("t").select("_metadata.file_path").distinct().collect()}
+    store.commit([store.stage("t", days(spark, d2023_08_02=1), D2, D2)], D2, D2)
+    after = {r[0] for r in store.read("t").where(F.col("ds") == D1).select("_metadata.file_path").distinct().collect()}
+    assert after and after <= before
+
+
+def test_foreign_days(spark, store):
+    rows = days(spark, d2023_08_01=1, d2023_08_02=1)
+    with pytest.raises(Exception, match=f"t: rows of the day {D2} are not its own"):
+        store.stage("t", rows, D1, D1)
+    with pytest.raises(Exception, match="t: rows of the day NULL are not its own"):
+        store.stage("t", rows.withColumn("ds", F.lit(None).cast("string")))
+    assert store.stage("t", rows, D1, D1, foreign="drop").counts == {D1: 1}
+    assert store.versions() == []
+    with pytest.raises(ValueError, match="foreign"):
+        store.stage("t", rows, foreign="keep")
+
+
+def test_columns_come_and_go(spark, store):
+    rows = days(spark, d2023_08_01=1)
+    store.commit([store.stage("t", rows)])
+    with pytest.raises(ValueError, match="no column for new"):
+        store.stage("t", rows.withColumn("new", F.lit(1)))
+    store.commit([store.stage("t", rows.select("ds", F.lit(5).cast("long").alias("A")).withColumn("new", F.lit("x")), extra="add")], append=True)
+    found = store.read("t").orderBy("a")
+    assert found.columns == ["a", "b", "ds", "new"] and dict(found.dtypes)["a"] == "int"
+    assert [tuple(r) for r in found.collect()] == [(0, "v0", D1, None), (5, None, D1, "x")]
+    store.commit([store.stage("none", rows.withColumn("void", F.lit(None)))])
+    assert dict(store.read("none").dtypes)["void"] == "string"
+
+
+def test_many_commits(spark, store, monkeypatch):
+    monkeypatch.setattr(stores, "WHOLE", 3)
+    for n in range(1, 8):
+        store.commit([store.stage("t", days(spark, d2023_08_01=n), D1, D1)], D1, D1, batch=("s", n))
+        read = []
+        monkeypatch.setattr(store, "_manifest", lambda v, own=type(store)._manifest, read=read: read.append(v) or own(store, v))
+        assert store.state().tables["t"].rows() == {D1: n}
+        assert read == list(range(n - n % 3 or 1, n + 1))
+        monkeypatch.undo()
+        monkeypatch.setattr(stores, "WHOLE", 3)
+    assert store.state().batches == {"s": 7}
+    assert store.commit([store.stage("t", days(spark, d2023_08_01=9))], batch=("s", 7)) == 7
+    assert held(store, "t") == {D1: 7}
+    assert held(store, "t", version=2) == {D1: 2}
+
+
+def test_two_at_once(spark, store, monkeypatch):
+    """A commit whose number is taken meanwhile gets the next one, or is a conflict."""
+    store.commit([store.stage("t", days(spark, d2023_08_01=1, d2023_08_02=1))])
+    mine, other = store.stage("t", days(spark, d2023_08_01=2), D1, D1), store.stage("t", days(spark, d2023_08_02=3), D2, D2)
+    put = Store._put
+
+    def late(self, version, text):
+        monkeypatch.setattr(Store, "_put", put)
+        self.commit([other], D2, D2)
+        return put(self, version, text)
+
+    monkeypatch.setattr(Store, "_put", late)
+    assert store.commit([mine], D1, D1) == 3
+    assert held(store, "t") == {D1: 2, D2: 3}
+    monkeypatch.setattr(Store, "_put", late)
+    with pytest.raises(Conflict, match="t changed after version 3"):
+        store.commit([mine], D1, D1, since=3)
+    assert store.versions() == [1, 2, 3, 4]
+
+
+def test_compact_and_vacuum(spark, store):
+    for n in (1, 2, 3):
+        store.commit([store.stage("t", days(spark, d2023_08_01=n, d2023_09_01=1))], append=True)
+    unseen = store.stage("u", days(spark, d2023_08_01=1))
+    wanted = sorted(map(tuple, store.read("t").collect()))
+    store.compact("t", num_out=1, key="a")
+    assert sorted(map(tuple, store.read("t").collect())) == wanted
+    assert len(store.state().tables["t"].live()) == 1
+    gone = store.vacuum()
+    assert len(gone) == 4 and any(unseen.run in path for path in gone)
+    assert sorted(map(tuple, store.read("t").collect())) == wanted
+
+
+def test_published_views(spark, database):
+    store = store_of(spark, database, "month")
+    store.commit([store.stage(name, days(spark, d2023_08_01=2, d2023_08_02=2, d2023_09_01=1)) for name in ("t", "u")])
+    publish(store, database)
+
+    def shown(name="t"):
+        return {r.ds: r["count"] for r in spark.table(f"{database}.{name}").groupBy("ds").count().collect()}
+
+    assert shown() == shown("u") == {D1: 2, D2: 2, D4: 1}
+    store.commit([store.stage("t", days(spark, d2023_08_02=5), D2, D3)], D2, D3)
+    assert shown() == {D1: 2, D2: 2, D4: 1}
+    publish(store, database)
+    publish(store, database)
+    assert shown() == {D1: 2, D2: 5, D4: 1}
+    store.commit([store.stage("t", days(spark, d2023_08_01=1).withColumn("new", F.lit(1)), extra="add")], append=True)
+    publish(store, database, ["t"])
+    assert shown() == {D1: 3, D2: 5, D4: 1} and spark.table(f"{database}.t").columns[-1] == "new"
+    store.commit([store.stage("t", spark.table(f"{database}.t").limit(0))])
+    publish(store, database)
+    assert shown() == {} and shown("u") == {D1: 2, D2: 2, D4: 1}
+    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()} == {"t", "u"}
+
+
+def test_a_key_opens_one_file_per_day(spark):
+    store = Store(spark, shared_folder(spark, "store"))
+    rows = spark.range(60_000).select(
+        (F.col("id") % 1000).cast("string").alias("key"), F.lit("x").alias("v"),
+        F.concat(F.lit("2023-08-0"), F.col("id") % 3 + 1).alias("ds"),
+    )
+    staged = store.stage("t", rows, key="key")
+    store.commit([staged])
+    assert staged.counts == {D1: 20_000, D2: 20_000, D3: 20_000}
+    one = store.read("t", D2, D2).where("key = '7'")
+    assert one.select("_metadata.file_path").distinct().count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(key,7)" in plan
+    files = one.select("_metadata.file_path").first()[0]
+    order = spark.read.parquet(files).select("key", F.monotonically_increasing_id().alias("i"))
+    assert [r.key for r in order.orderBy("i").collect()] == sorted(r.key for r in order.collect())
+
+
+def listed(n):
+    body = f'{{"events": [{{"id": {n}, "customId": "c{n}", "tournament": {{"category": {{"sport": {{"name": "Football"}}}}}}}}]}}'
+    return ("matchday", D1, 200, body, D1)
+
+
+def test_a_killed_run_changes_no_table(spark, database, monkeypatch):
+    """The run ends between two tables; all eight stay as they were, and a rerun mends all."""
+    first = spark.createDataFrame([listed(1)], REPLIES)
+    run_days(first, database, D1, D1)
+    store = store_of(spark, database)
+    before = {name: sorted(map(str, spark.table(table_name(database, name)).collect())) for name in TABLES}
+    second = spark.createDataFrame([listed(2)], REPLIES)
+
+    def killed(*_, **__):
+        raise KeyboardInterrupt("killed")
+
+    monkeypatch.setattr(endpoints, "match_summary", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_days(second, database, D1, D1)
+    assert store.versions() == [1]
+    for name in TABLES:
+        assert sorted(map(str, spark.table(table_name(database, name)).collect())) == before[name]
+    monkeypatch.undo()
+    run_days(second, database, D1, D1)
+    assert store.versions() == [1, 2]
+    for name in TABLES:
+        assert sorted(map(str, spark.table(table_name(database, name)).collect())) != before[name]
+        assert sorted(map(str, store.read(name, version=1).collect())) == before[name]
+    store.vacuum()
+    assert spark.table(table_name(database, "matchday")).first().match_id == "2"
+
+
+@pytest.mark.parametrize("replace", [lambda df, t, **x: replace_range(df, t, D1, D1, **x), lambda df, t, **x: replace_days(df, t, [D1], **x)])
+def test_plain_tables_refuse_foreign_days(spark, database, replace):
+    target = table_name(database, "plain")
+    append(days(spark, d2023_08_01=1, d2023_08_02=4), target)
+    both = days(spark, d2023_08_01=2, d2023_08_02=1)
+    with pytest.raises(Exception, match=f"rows of the day {D2} are not its own"):
+        replace(both, target)
+    count = {r.ds: r["count"] for r in spark.table(target).groupBy("ds").count().collect()}
+    assert count == {D1: 1, D2: 4}
+    assert replace(both, target, foreign="drop") == {D1: 2}
+    count = {r.ds: r["count"] for r in spark.table(target).groupBy("ds").count().collect()}
+    assert count == {D1: 2, D2: 4}
+    assert append_counted(both, target) == {D1: 2, D2: 1}

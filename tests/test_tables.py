@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from kickflow.operators import endpoints
 from kickflow.plans.daily import TABLES, crawl_days, run_day, run_days
-from kickflow.plans.job import DONE, SKIPPED, EmptyInput, JobConfig, run_job
+from kickflow.plans.job import DONE, SKIPPED, EmptyInput, JobConfig, run_job, table_export
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import INT, LONG, REPLIES, TEXT, struct_of
 from kickflow.session import lookup_by_key, setting, checkpointed, shared_folder
 from kickflow.sinks import jdbc
 from kickflow.sinks.tables import (
     append,
+    create_database,
     partition_days,
     replace_day,
     replace_days,
@@ -192,6 +193,9 @@ def test_job_steps_and_empty_input(spark, tmp_path):
     three = JobConfig("Src", "Shots", D1, {"in_path": folder}, num_out_partition=3)
     run_job(three, read, lambda df: df, lambda df: parts.append(df.rdd.getNumPartitions()))
     assert parts == [3]
+    create_database(spark, "src", shared_folder(spark, "src"))
+    run_job(three, read, lambda df: spark.range(90).select("id", F.lit(D1).alias("ds")), table_export(three))
+    assert spark.table("src.shots").select("_metadata.file_path").distinct().count() == 3
     with pytest.raises(EmptyInput):
         run(lambda: None)
     skipping = JobConfig("Src", "Shots", D1, {"skip_empty": True})
