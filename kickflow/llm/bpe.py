@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +15,12 @@ from pyspark.sql import functions as F
 
 from kickflow.llm.common import bounded_batches, slices
 
-# Pieces longer than this go through a heap of pairs: a matrix round costs its width.
+# Longer pieces are matrices of one row, each round of which merges all it can.
 LONGEST_ROW = 1024
-CACHED_PIECES = 1 << 19
+# Bounds of memory, on which no result depends: cells of a matrix, text that is encoded at once,
+# and pieces that are remembered (twice so many at most).
+CELLS, SLICE_BYTES = 1 << 19, 2 << 20
+KNOWN_PIECES, KNOWN_BYTES = 1 << 17, 64
 NO_PAIR = np.iinfo(np.int32).max
 PAD = 0xFFFF
 EMPTY = np.uint32(0xFFFFFFFF)
@@ -72,7 +74,7 @@ class PairTable:
 
 
 class Coder:
-    """Encodes pieces of text and decodes ids, for one set of ranks (below 65,535)."""
+    """Encodes pieces of text, for one set of ranks (below 65,535)."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         if ranks and max(ranks.values()) >= PAD:
@@ -89,42 +91,47 @@ class Coder:
                 if left is not None and right is not None:
                     pairs[left << 16 | right] = rank
         self.pairs = PairTable(pairs)
-        self.tokens = [b""] * (max(ranks.values(), default=0) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         split = [self.split(text) for text in texts]
-        if len(self.known) > CACHED_PIECES:
-            self.known = {}
-        new = set().union(*split) - self.known.keys()
-        self._learn(sorted(new))
+        if len(self.known) > KNOWN_PIECES:
+            self.known, self.older = {}, self.known
         known = self.known
-        return [b"".join([known[piece] for piece in pieces]) for pieces in split]
-
-    def decode(self, ids: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
-    def _learn(self, pieces: list[str]) -> None:
+        new = set().union(*split) - known.keys()
+        if self.older:
+            known.update((piece, self.older[piece]) for piece in new & self.older.keys())
+            new -= known.keys()
+        long = self._learn(sorted(new))
+        ids = [b"".join([known[piece] for piece in pieces]) for pieces in split]
+        for piece in long:
+            del known[piece]
+        return ids
+
+    def _learn(self, pieces: list[str]) -> list[str]:
+        """Encode the pieces; returns those that are too long to be kept."""
         by_width: dict[int, list[tuple[str, bytes]]] = {}
+        long = []
         for piece in pieces:
             data = piece.encode("utf-8")
+            if len(data) > KNOWN_BYTES:
+                long.append(piece)
             if (rank := self.ranks.get(data)) is not None:
                 self.known[piece] = rank.to_bytes(4, "little")
             elif len(data) > LONGEST_ROW:
-                self.known[piece] = self._one(data)
+                self.known[piece] = self._row(data)
             else:
                 width = len(data) if len(data) <= 32 else 1 << (len(data) - 1).bit_length()
                 by_width.setdefault(width, []).append((piece, data))
         for width, rows in by_width.items():
-            at_once = max(1, (1 << 21) // width)
+            at_once = max(1, CELLS // width)
             for start in range(0, len(rows), at_once):
                 some = rows[start : start + at_once]
                 for (piece, _), ids in zip(some, self._matrix([x for _, x in some], width), strict=True):
                     self.known[piece] = ids
+        return long
 
     def _matrix(self, pieces: list[bytes], width: int) -> list[bytes]:
         """All rows at once: a round merges each row's leftmost pair of least rank.
@@ -171,76 +178,102 @@ class Coder:
                 ranks[left, at] = self.pairs(ids[left, at], ids[left, at + 1])
         return done
 
-    def _one(self, data: bytes) -> bytes:
-        """The same merges for one long piece, by a heap over a linked list."""
-        ids = self.single[np.frombuffer(data, np.uint8)].tolist()
-        after = [*range(1, len(ids)), -1]
-        before = list(range(-1, len(ids) - 1))
-        tokens, ranks = self.tokens, self.ranks
-
-        def rank(i: int) -> int | None:
-            return ranks.get(tokens[ids[i]] + tokens[ids[after[i]]])
-
-        heap = [(r, i) for i in range(len(ids) - 1) if (r := rank(i)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
-            if ids[i] < 0 or after[i] < 0 or rank(i) != r:
-                continue
-            gone = after[i]
-            ids[i], ids[gone] = r, -1
-            after[i] = after[gone]
-            if after[i] >= 0:
-                before[after[i]] = i
-                if (x := rank(i)) is not None:
-                    heapq.heappush(heap, (x, i))
-            if before[i] >= 0 and (x := rank(before[i])) is not None:
-                heapq.heappush(heap, (x, before[i]))
-        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
-
-
-@cache
+    def _row(self, data: bytes) -> bytes:
+        """A matrix of one long row: a round merges its pair of least rank wherever it is.
+
+        That is what so many rounds of one merge each come to, up to the first merge that
+        makes a pair of lower rank, which has to go first; a round ends there.
+        """
+        ids = self.single[np.frombuffer(data, np.uint8)]
+        ranks = self.pairs(ids[:-1], ids[1:])
+        while len(ranks) and (least := ranks.min()) != NO_PAIR:
+            at = np.flatnonzero(ranks == least)
+            # Of neighbours that overlap, every other one, from the left.
+            first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            run = np.repeat(first, np.diff(first, append=len(at)))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            made = np.full(len(at), least, ids.dtype)
+            # What stands beside each as its turn comes: those on the left are merged by then.
+            before = np.where(np.diff(at, prepend=-2) == 2, least, np.where(at > 0, ids[at - 1], PAD))
+            after = np.where(at + 2 < len(ids), ids[np.minimum(at + 2, len(ids) - 1)], PAD)
+            lower = (self.pairs(before, made) < least) | (self.pairs(made, after) < least)
+            if lower.any():
+                at = at[: lower.argmax() + 1]
+            ids[at] = least
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            ids = ids[kept]
+            ranks = ranks[kept[1:]]
+            at -= np.arange(len(at))
+            for near in (at[at > 0] - 1, at[at < len(ids) - 1]):
+                ranks[near] = self.pairs(ids[near], ids[near + 1])
+        return ids.astype("<u4").tobytes()
+
+
+class Tokens:
+    """The bytes of each id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+
+    def decode(self, ids: bytes) -> bytes:
+        tokens = self.tokens
+        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
+@lru_cache(1)
 def _coder(ranks: Broadcast, pattern: str) -> Coder:
     return Coder(ranks.value, pattern)
 
 
+@lru_cache(1)
+def _tokens(ranks: Broadcast) -> Tokens:
+    return Tokens(ranks.value)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and ``token_ids`` (little-endian unsigned 32-bit integers).
 
     Each match of ``pattern`` is encoded by itself, without special tokens. A null or empty
-    text has no tokens. A column already named so is replaced; all others stay as they are.
-    The rank file is read on the driver and broadcast (its size is that of the vocabulary).
+    text has no tokens. Repeated rows stay repeated, no rows give none. A column already named
+    so is replaced; all others stay as they are. The rank file is read on the driver and
+    broadcast (its size is that of the vocabulary).
     """
-    bounded_batches(docs.sparkSession)
-    docs = docs.drop("n_tokens", "token_ids")
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_tokens"), F.lit(b"").alias("token_ids")).schema
+    return _coded(docs, ranks_path, pattern, text, decode=False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks, pattern)
-        for batch in slices(batches, text):
-            ids = coder.encode([x or "" for x in batch.column(text).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                [*batch.schema.names, "n_tokens", "token_ids"],
-            )
 
-    return docs.mapInArrow(run, schema)
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode``, and ``decoded`` as ``decode`` gives it, in one pass."""
+    return _coded(docs, ranks_path, pattern, text, decode=True)
 
 
 def decode(tokens: DataFrame, ranks_path: str, ids: str = "token_ids") -> DataFrame:
     """``tokens`` with ``decoded``, the bytes that its ids stand for (null: empty)."""
-    bounded_batches(tokens.sparkSession)
-    tokens = tokens.drop("decoded")
-    ranks = tokens.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = tokens.select("*", F.lit(b"").alias("decoded")).schema
+    return _coded(tokens, ranks_path, None, ids, decode=True)
+
+
+def _coded(df: DataFrame, ranks_path: str, pattern: str | None, column: str, decode: bool) -> DataFrame:
+    """``column`` holds texts to encode, or ids where there is no pattern."""
+    bounded_batches(df.sparkSession)
+    kinds = {"n_tokens": F.lit(0).cast("long"), "token_ids": F.lit(b"")} if pattern is not None else {}
+    kinds |= {"decoded": F.lit(b"")} if decode else {}
+    names = list(kinds)
+    df = df.drop(*names)
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    schema = df.select("*", *[kind.alias(name) for name, kind in kinds.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks, r"")
-        for batch in slices(batches, ids):
-            data = [coder.decode(x or b"") for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "decoded"]
-            )
+        for batch in slices(batches, column, SLICE_BYTES):
+            given, new = batch.column(column).to_pylist(), []
+            if pattern is not None:
+                ids = _coder(ranks, pattern).encode([x or "" for x in given])
+                new += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            else:
+                ids = [x or b"" for x in given]
+            if decode:
+                new.append(pa.array([_tokens(ranks).decode(x) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *names])
 
-    return tokens.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)

@@ -124,8 +124,7 @@ def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(RANKS)
-    tokens = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(tokens, path).select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),

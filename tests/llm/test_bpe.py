@@ -16,6 +16,7 @@ PATH = public_tokenizers.path(RANKS)
 RANK_LIST = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANK_LIST, special_tokens={})
 CODER = bpe.Coder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+TOKENS = bpe.Tokens(bpe.read_ranks(PATH))
 
 
 def wanted(text):
@@ -40,7 +41,7 @@ def test_query_against_the_library(spark):
 def test_any_text(texts):
     for text, ids in zip(texts, CODER.encode(texts), strict=True):
         assert ids == wanted(text)
-        assert CODER.decode(ids) == text.encode()
+        assert TOKENS.decode(ids) == text.encode()
 
 
 def test_long_pieces(monkeypatch):
@@ -53,12 +54,44 @@ def test_long_pieces(monkeypatch):
         assert CODER.encode(texts) == [wanted(t) for t in texts]
 
 
+@pytest.mark.parametrize("ordered", [True, False])
+def test_rows_of_any_ranks(ordered, monkeypatch):
+    """One long row against the library, for ranks that merges need not follow in order."""
+    rng = random.Random(ordered)
+    monkeypatch.setattr(bpe, "LONGEST_ROW", 2)
+    for _ in range(40):
+        tokens = {bytes([b]) for b in range(256)}
+        pool = [b"a", b"b", b"c"]
+        for _ in range(30):
+            pool.append(rng.choice(pool[-12:]) + rng.choice(pool[:12]))
+        made = list(dict.fromkeys(x for x in pool if x not in tokens))
+        if not ordered:
+            rng.shuffle(made)
+        ranks = {bytes([b]): b for b in range(256)} | {x: 256 + i for i, x in enumerate(made)}
+        coder = bpe.Coder(ranks, r"\w+")
+        library = tiktoken.Encoding("any", pat_str=r"\w+", mergeable_ranks=ranks, special_tokens={})
+        texts = ["".join(rng.choice("abc") for _ in range(rng.randint(3, 80))) for _ in range(30)]
+        for text, ids in zip(texts, coder.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+
+
+def test_small_memory(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 2)
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 4)
+    monkeypatch.setattr(bpe, "CELLS", 8)
+    coder = bpe.Coder(RANK_LIST, public_tokenizers.PATTERN)
+    for text in ("one two three four", "five six seven one two", "one", "unlikelywordsandmore three"):
+        assert coder.encode([text, text]) == [wanted(text)] * 2
+
+
 def test_frames(documents):
     rows = [(1, "a b"), (1, "a b"), (None, None), (2, ""), (3, "x" * 200_000), (4, "\x00\x1c \u0085\n")]
     docs = documents(*rows).withColumnRenamed("found", "token_ids")
     coded = bpe.encode(docs, PATH, public_tokenizers.PATTERN)
     assert coded.columns == [c for c in docs.columns if c != "token_ids"] + ["n_tokens", "token_ids"]
-    for r in bpe.decode(coded, PATH).collect():
+    both = bpe.round_trip(docs, PATH, public_tokenizers.PATTERN)
+    assert both.collect() == bpe.decode(coded, PATH).collect()
+    for r in both.collect():
         assert bytes(r.token_ids) == wanted(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode()
         assert r.n_tokens == len(r.token_ids) // 4
