@@ -74,28 +74,13 @@ def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
-    found = warc.read_warc(spark, path).select(
+    return warc.with_full_payloads(warc.read_warc(spark, path)).select(
         warc.page_id("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
         warc.page_id("refers_to").alias("refers_to"),
     )
-    # A revisit has no payload of its own: its size and digest are those of its response.
-    responses = found.where("record_type = 'response'").select(
-        F.col("page_id").alias("r"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d")
-    )
-    revisits = found.where("record_type = 'revisit'")
-    pairs = revisits.join(responses, revisits["refers_to"] == responses["r"])
-    return found.where("record_type = 'response'").unionByName(
-        pairs.select(
-            "page_id",
-            F.col("b").alias("payload_bytes"),
-            F.col("d").alias("payload_digest"),
-            "record_type",
-            "refers_to",
-        )
-    )
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

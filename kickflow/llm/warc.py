@@ -274,6 +274,23 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def with_full_payloads(records: DataFrame) -> DataFrame:
+    """``records`` of ``read_warc``, where a revisit has the size and digest of its response's payload.
+
+    A revisit finds it by the digest that it declares, of which there is one payload however
+    many responses repeat it or share an id, or have none: each record stays one row. A revisit
+    whose payload is in none of the archives keeps its own values.
+    """
+    whole = records.where("record_type = 'response'").groupBy("payload_digest")
+    whole = whole.agg(F.first("payload_bytes").alias("full_bytes")).withColumnRenamed("payload_digest", "full_digest")
+    revisits = records.where("record_type = 'revisit'")
+    found = revisits.join(whole, F.concat(F.lit("sha256:"), whole["full_digest"]) == revisits["declared"], "left")
+    found = found.withColumn("payload_bytes", F.coalesce("full_bytes", "payload_bytes"))
+    found = found.withColumn("payload_digest", F.coalesce("full_digest", "payload_digest"))
+    rest = records.where("record_type <> 'revisit' OR record_type IS NULL")
+    return rest.unionByName(found.select(*records.columns))
+
+
 def _bodies(spark: SparkSession, path: str, found: DataFrame, records: DataFrame) -> DataFrame:
     """(file, start, payload) of ``records``, put together from all lines they span."""
     # The owner of a rejected candidate is the last record that begins before it.

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kickflow.llm import warc
+from kickflow.llm.queries import QUERIES
 
 NESTED = "before WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nafter" + "z" * 200
 ROWS = [
@@ -97,3 +98,31 @@ def test_empty_table(spark, pages, tmp_path):
     path = str(tmp_path / "warc")
     warc.write_warc(pages(ROWS).where("false"), path)
     assert warc.read_warc(spark, path).count() == 0
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        ROWS,
+        [(1, "u", "X" * 100), (1, "u", "X" * 100), (1, "u", "Y" * 100), (2, "u", "X" * 100), (None, "u", "Y" * 100)],
+        [(None, "u", "X" * 100), (None, "u", "X" * 100), (7, None, "X" * 100)],
+        [],
+    ],
+)
+def test_query_with_repeated_and_null_ids(spark, pages, tmp_path, rows):
+    """One row per page, whichever ids its payload's pages have."""
+    pages(rows, 2).write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["op3_warc"](spark, str(tmp_path)).collect()
+    size = {hashlib.sha256(data).hexdigest(): len(data) for _, _, h in rows for data in [(h or "").encode()]}
+    got = [(r.page_id, r.record_type, r.refers_to, r.payload_digest) for r in found]
+    assert sorted(got, key=repr) == expected(rows)
+    assert all(r.payload_bytes == size[r.payload_digest] for r in found)
+
+
+def test_revisit_without_a_response(spark, pages, tmp_path):
+    path = str(tmp_path / "warc")
+    warc.write_warc(pages([(1, "u", "X" * 100), (2, "u", "X" * 100)], 1), path)
+    alone = warc.read_warc(spark, path).where("record_type = 'revisit'")
+    assert [(r.payload_bytes, r.payload_digest) for r in warc.with_full_payloads(alone).collect()] == [
+        (0, hashlib.sha256(b"").hexdigest())
+    ]
