@@ -255,7 +255,7 @@ ORACLES: dict[str, str] = {
     WHERE date_diff('day', CAST({_MONTH} AS DATE), DATE '2001-08-02') > 1000
     """,
     "file_read": _shotmap(_WEEK),
-    "incremental": _shotmap(_WEEK),
+    "incremental": _shotmap(),
 }
 
 

@@ -19,6 +19,7 @@ from kickflow.plans.job import JobConfig, run_job, table_export
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import FLAG, INT, LONG, REAL, REPLIES, TEXT, struct_of
 from kickflow.session import configure, shared_folder, stored
+from kickflow.sinks.store import Store
 from kickflow.sinks.tables import (
     append,
     create_database,
@@ -30,7 +31,7 @@ from kickflow.sinks.tables import (
 from kickflow.sources import derived
 from kickflow.sources.files import read_files
 from kickflow.sources.replies import for_keys, land, of_endpoint, read_replies
-from kickflow.streaming.incremental import take_in
+from kickflow.streaming.incremental import latest, take_in
 
 
 MATCH = struct_of(
@@ -331,18 +332,18 @@ def file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good replies land first, all others later and for the same days."""
+    """Two landings: the second corrects a third of the first one's replies, and adds new keys."""
     folder = shared_folder(configure(spark), "landing")
     checkpoint = shared_folder(spark, "progress")
-    target = table_name(_database(spark, "stream"), "shotmap")
-    replies = derived.line_replies(spark, sf_dir, ["shotmap"], derived.week())
-    good = F.coalesce(F.col("status_code") == 200, F.lit(False))
-    for part in (good, ~good):
-        land(replies.where(part), folder)
-        take_in(
-            spark, folder, "shotmap", lambda df: endpoints.shotmap(df, SHOT), target, checkpoint
-        )
-    return spark.table(target)
+    store = Store(spark, shared_folder(spark, "stream"), "year")
+    replies, _ = stored(derived.line_replies(spark, sf_dir, ["shotmap"]), "replies")
+    part = F.crc32("key") % 4
+    wrong = {"status_code": F.lit(404), "body": F.lit("busy")}
+    early = replies.where(part == 0).withColumns(wrong).unionByName(replies.where(part.isin(1, 2)))
+    for landing in (early, replies.where(part.isin(0, 3))):
+        land(landing, folder, folder_per_day=False)
+        take_in(spark, folder, "shotmap", lambda df: endpoints.shotmap(df, SHOT), store, "shotmap", checkpoint)
+    return latest(store, "shotmap")
 
 
 QUERIES = {

@@ -13,6 +13,8 @@ def struct_of(**fields: T.DataType) -> T.StructType:
 
 
 REPLIES = struct_of(endpoint=TEXT, key=TEXT, status_code=INT, body=TEXT, ds=TEXT)
+# Replies in a landing folder also have when they were written there, in microseconds.
+LANDED = struct_of(**{f.name: f.dataType for f in REPLIES}, landed=LONG)
 
 # Members and fields the feed names, in the feed's order.
 STATISTIC_ITEM = struct_of(

@@ -9,9 +9,10 @@ from kickflow.operators import endpoints
 from kickflow.plans.daily import TABLES, crawl_days, run_day, run_days
 from kickflow.plans.job import DONE, SKIPPED, EmptyInput, JobConfig, run_job, table_export
 from kickflow.plans.retention import expire, expired_days
-from kickflow.schemas import INT, LONG, REPLIES, TEXT, struct_of
+from kickflow.schemas import INT, LANDED, LONG, REPLIES, TEXT, struct_of
 from kickflow.session import lookup_by_key, setting, checkpointed, shared_folder
 from kickflow.sinks import jdbc
+from kickflow.sinks.store import Store
 from kickflow.sinks.tables import (
     append,
     create_database,
@@ -31,7 +32,7 @@ from kickflow.sources.replies import (
     of_endpoint,
     read_replies,
 )
-from kickflow.streaming.incremental import take_in
+from kickflow.streaming.incremental import fold, latest, take_in
 
 
 @pytest.fixture
@@ -413,25 +414,92 @@ def test_crawl(spark, database, tmp_path):
     assert {row.ds for row in one.collect()} == {D1}
 
 
-def test_incremental(spark, database, target, tmp_path):
+def test_incremental(spark, tmp_path):
     landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
-    batches = []
+    store = Store(spark, str(tmp_path / "store"))
+    seen = []
 
     def build(df):
-        rows = endpoints.shotmap(df, struct_of(id=INT))
-        batches.append(rows.count())
-        return rows
+        seen.append({r.key for r in df.select("key").collect()})
+        return endpoints.shotmap(df, struct_of(id=INT))
 
-    def step(*rows):
+    def step(*rows, **more):
         land(spark.createDataFrame(list(rows), REPLIES), landing)
-        take_in(spark, landing, "shotmap", build, target, progress, files_per_batch=100)
+        take_in(spark, landing, "shotmap", build, store, "shotmap", progress, **more)
+
+    def found(**more):
+        return sorted((r.ds, r.match_id, r.id) for r in latest(store, "shotmap", **more).collect())
 
     step(("shotmap", "1", 200, shot(1, 2), D1), ("other", "1", 200, "{}", D1))
-    assert counted(spark, target) == {D1: 2}
-    step(("shotmap", "2", 404, None, D1), ("shotmap", "3", 200, shot(5), D2))
-    assert counted(spark, target) == {D1: 3, D2: 1}
-    take_in(spark, landing, "shotmap", build, target, progress)
-    assert batches == [2, 4]
+    assert found() == [(D1, "1", 1), (D1, "1", 2)]
+    step(("shotmap", "2", 404, None, D1), ("shotmap", "3", 200, shot(5), D2), ("shotmap", "1", 200, shot(9), D2))
+    first = [(D1, "1", 1), (D1, "1", 2), (D1, "2", None), (D2, "1", 9), (D2, "3", 5)]
+    assert found() == first
+    # Two replies of one landing count together, and an answer without rows puts out older ones.
+    step(("shotmap", "1", 200, shot(3), D1), ("shotmap", "1", 200, shot(4), D1), ("shotmap", "3", 200, shot(), D2))
+    after = [(D1, "1", 3), (D1, "1", 4), (D1, "2", None), (D2, "1", 9)]
+    assert found() == after and found(version=2) == first
+    assert found(first=D2, last=D2) == [(D2, "1", 9)]
+    # A batch has the keys that landed, and no other.
+    assert seen == [{"1"}, {"1", "2", "3"}, {"1", "3"}]
+    take_in(spark, landing, "shotmap", build, store, "shotmap", progress)
+    assert len(seen) == 3 and store.versions() == [1, 2, 3]
+    fold(store, "shotmap")
+    assert found() == after and len(store.state().tables["shotmap"].live()) == 1
+    step(("shotmap", "2", 200, shot(7), D1))
+    assert found() == [(D1, "1", 3), (D1, "1", 4), (D1, "2", 7), (D2, "1", 9)]
+    # A second stream over the same files, in small batches, comes to the same rows.
+    other = Store(spark, str(tmp_path / "other"))
+    take_in(spark, landing, "shotmap", build, other, "shotmap", str(tmp_path / "again"), files_per_batch=1)
+    assert sorted((r.ds, r.match_id, r.id) for r in latest(other, "shotmap").collect()) == found()
+
+
+def test_landings_in_any_order(spark, tmp_path):
+    """Files of a later landing may be taken in first, or together with those of an earlier one."""
+    rows = [
+        ("shotmap", "1", 200, shot(1), D1, 10),
+        ("shotmap", "1", 200, shot(2), D1, 30),
+        ("shotmap", "1", 200, shot(3), D1, 20),
+        ("shotmap", "2", 200, shot(4), D1, None),
+        ("shotmap", None, 200, shot(5), D1, 10),
+    ]
+    for n, order in enumerate(([0, 1, 2, 3, 4], [1, 0, 2, 4, 3], [[0, 1, 2, 3, 4]], [[1, 3], [0, 2, 4]])):
+        folder = tmp_path / f"order-{n}"
+        store = Store(spark, str(folder / "store"))
+        for part in order:
+            some = [rows[i] for i in (part if isinstance(part, list) else [part])]
+            spark.createDataFrame(some, LANDED).coalesce(1).write.mode("append").parquet(str(folder / "landing"))
+            take_in(
+                spark, str(folder / "landing"), "shotmap", lambda df: endpoints.shotmap(df, struct_of(id=INT)),
+                store, "shotmap", str(folder / "progress"),
+            )
+        found = {(r.match_id, r.id) for r in latest(store, "shotmap").collect()}
+        assert found == {("1", 2), ("2", 4), (None, 5)}
+
+
+def test_a_batch_that_is_tried_again(spark, tmp_path, monkeypatch):
+    """The commit is done but the stream has not noted it: the batch is not put in twice."""
+    landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
+    store = Store(spark, str(tmp_path / "store"))
+    land(spark.createDataFrame([("shotmap", "1", 200, shot(1, 2), D1)], REPLIES), landing)
+    commit = Store.commit
+
+    def lost(self, *args, **more):
+        commit(self, *args, **more)
+        raise RuntimeError("lost")
+
+    def again():
+        take_in(
+            spark, landing, "shotmap", lambda df: endpoints.shotmap(df, struct_of(id=INT)), store, "shotmap", progress
+        )
+
+    monkeypatch.setattr(Store, "commit", lost)
+    with pytest.raises(Exception, match="lost"):
+        again()
+    monkeypatch.undo()
+    again()
+    assert store.versions() == [1]
+    assert [r.id for r in latest(store, "shotmap").orderBy("id").collect()] == [1, 2]
 
 
 def test_shared_folder(spark):
