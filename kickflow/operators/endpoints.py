@@ -2,7 +2,8 @@
 
 Each takes replies ``key, ds, status_code, body`` of its endpoint and returns the
 flat table with ``ds``. Where a record shape is not given it is inferred from the
-replies, which costs one more pass over them.
+replies, which costs one more pass over them. Where one is given, a value of another type is
+NULL; ``rescue`` names a column for such values, as JSON text by their path.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from kickflow.functions.bodies import (
     items,
     member,
     or_single,
+    rescued,
+    rescued_items,
     variant_path,
 )
 from kickflow.functions.nested import at, check_names, expand, flat_name, leaves
@@ -37,13 +40,23 @@ def infer(replies: DataFrame, path: Sequence[str]) -> T.StructType:
     return infer_record(found, "item")
 
 
+def _records(path: Sequence[str], record: T.StructType, rescue: str | None) -> Column:
+    """The records of a body; with ``rescue``, a field of that name holds what their shape loses."""
+    if rescue is None:
+        return items(F.col("body"), path, record)
+    return rescued_items(F.col("body"), path, record, rescue)
+
+
 def matchday(
-    replies: DataFrame, record: T.StructType | None = None, sport: str = "Football"
+    replies: DataFrame,
+    record: T.StructType | None = None,
+    sport: str = "Football",
+    rescue: str | None = None,
 ) -> DataFrame:
     """Events of one sport; a failed or unreadable day gives no rows."""
     record = record or infer(replies, ["events"])
     events = replies.where(F.col("status_code") == 200).select(
-        "ds", F.explode(items(F.col("body"), ["events"], record)).alias("record")
+        "ds", F.explode(_records(["events"], record, rescue)).alias("record")
     )
     flat = expand(events, "record", keep=["ds"]).withColumnRenamed("id", "match_id")
     missing = [name for name in ("match_id", "customId") if name not in flat.columns]
@@ -67,10 +80,10 @@ def matchday_audit(replies: DataFrame) -> DataFrame:
 
 
 def _per_match(
-    replies: DataFrame, name: str, record: T.StructType | None, on_bad: str
+    replies: DataFrame, name: str, record: T.StructType | None, on_bad: str, rescue: str | None
 ) -> DataFrame:
     record = record or infer(replies, [name])
-    rows = rows_or_error(replies, items(F.col("body"), [name], record), on_bad)
+    rows = rows_or_error(replies, _records([name], record, rescue), on_bad)
     return expand(
         rows.withColumnRenamed("key", "match_id"),
         "record",
@@ -79,23 +92,32 @@ def _per_match(
 
 
 def shotmap(
-    replies: DataFrame, record: T.StructType | None = None, on_bad: str = "truncate"
+    replies: DataFrame,
+    record: T.StructType | None = None,
+    on_bad: str = "truncate",
+    rescue: str | None = None,
 ) -> DataFrame:
-    return _per_match(replies, "shotmap", record, on_bad)
+    return _per_match(replies, "shotmap", record, on_bad, rescue)
 
 
 def match_incident(
-    replies: DataFrame, record: T.StructType | None = None, on_bad: str = "truncate"
+    replies: DataFrame,
+    record: T.StructType | None = None,
+    on_bad: str = "truncate",
+    rescue: str | None = None,
 ) -> DataFrame:
-    return _per_match(replies, "incidents", record, on_bad)
+    return _per_match(replies, "incidents", record, on_bad, rescue)
 
 
 def match_event(
-    replies: DataFrame, record: T.StructType | None = None, on_bad: str = "truncate"
+    replies: DataFrame,
+    record: T.StructType | None = None,
+    on_bad: str = "truncate",
+    rescue: str | None = None,
 ) -> DataFrame:
     """Head-to-head events by custom id; an error row has that id in ``match_id``."""
     record = record or infer(replies, ["events"])
-    rows = rows_or_error(replies, items(F.col("body"), ["events"], record), on_bad)
+    rows = rows_or_error(replies, _records(["events"], record, rescue), on_bad)
     found = F.col("record").isNotNull()
     match_id = F.when(~found, F.col("key"))
     if "match_id" in record.names:
@@ -106,7 +128,9 @@ def match_event(
     return expand(rows, "record", keep=["customId", "match_id", "status_code", "ds"])
 
 
-def match_manager(replies: DataFrame, record: T.StructType | None = None) -> DataFrame:
+def match_manager(
+    replies: DataFrame, record: T.StructType | None = None, rescue: str | None = None
+) -> DataFrame:
     """The whole object as one row."""
     if record is None:
         good = replies.where(F.col("status_code") == 200)
@@ -116,7 +140,11 @@ def match_manager(replies: DataFrame, record: T.StructType | None = None) -> Dat
     reply = F.when(F.col("status_code") == 200, member(F.col("body"), [], record))
     rows = replies.withColumn("record", reply).withColumnRenamed("key", "match_id")
     rows = rows.withColumn("status_code", row_status(F.col("record")))
-    return expand(rows, "record", keep=["match_id", "status_code", "ds"])
+    if rescue is not None:
+        whole = member(F.col("body"), [], T.VariantType())
+        lost = F.when(F.col("record").isNotNull(), rescued(whole, F.col("record"), record))
+        rows = rows.withColumn(rescue, lost)
+    return expand(rows, "record", keep=[*[rescue] * (rescue is not None), "match_id", "status_code", "ds"])
 
 
 def match_summary(

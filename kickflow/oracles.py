@@ -130,6 +130,22 @@ ORACLES: dict[str, str] = {
     WITH {_matches()}
     SELECT match_id, error_status AS status_code, ds FROM m WHERE o_orderstatus <> 'F'
     """,
+    "value_rescue": f"""
+    WITH {_matches()}
+    SELECT CASE WHEN l_linenumber <> 4 THEN CAST(l_linenumber AS INTEGER) END AS id,
+           CASE WHEN l_linenumber <> 2 THEN l_discount END AS xg,
+           CASE WHEN l_linenumber NOT IN (3, 5) THEN l_partkey END AS player_id,
+           CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS player_flag,
+           CASE l_linenumber
+             WHEN 2 THEN '{{"xg":"\\"' || l_discount || '\\""}}'
+             WHEN 3 THEN '{{"player":"\\"player ' || l_partkey || '\\""}}'
+             WHEN 4 THEN '{{"id":"4.5"}}'
+             WHEN 5 THEN '{{"player.id":"[' || l_partkey || ']"}}' END AS rescued,
+           match_id, {_OK_STATUS}, ds
+    FROM l
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, NULL, match_id, error_status, ds FROM m WHERE {_ERROR}
+    """,
     "append_drift": f"""
     SELECT o_orderkey,
            CASE WHEN {_MONTH} NOT BETWEEN '1997-01-01' AND '1998-12-31' THEN o_totalprice END

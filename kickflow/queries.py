@@ -94,6 +94,13 @@ def shotmap_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endpoints.shotmap(derived.line_replies(configure(spark), sf_dir, ["shotmap"]))
 
 
+def value_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shots whose values have changed their types: what the columns lose is kept by path."""
+    replies = derived.drifted(derived.line_replies(configure(spark), sf_dir, ["shotmap"]))
+    found = endpoints.shotmap(replies, SHOT, rescue="rescued")
+    return found.withColumn("rescued", F.to_json("rescued"))
+
+
 def failures_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies that all have failed, so that no record tells any column."""
     replies = derived.line_replies(configure(spark), sf_dir, ["shotmap"])
@@ -354,6 +361,7 @@ QUERIES = {
         shotmap,
         shotmap_inferred,
         failures_inferred,
+        value_rescue,
         match_event,
         match_incident,
         match_lineups,

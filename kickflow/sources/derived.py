@@ -216,6 +216,21 @@ def _shots(lines: Column, **_) -> Shape:
     return F.struct(F.transform(lines, shot).alias("shotmap")), without_records("shotmap")
 
 
+# The second to fifth shot of each match, and what has become of their values.
+DRIFTS = (
+    (r'("id":2,"xg":)([^,]*)', r'$1"$2"'),
+    (r'("id":3,"xg":[^,]*,"player":)\{"id":(\d+),"flag":"\w"\}', r'$1"player $2"'),
+    (r'"id":4,("xg":)', r'"id":4.5,$1'),
+    (r'("id":5,"xg":[^,]*,"player":\{"id":)(\d+)', r'$1[$2]'),
+)
+
+
+def drifted(shots: DataFrame) -> DataFrame:
+    """Replies of the shots whose values are of other types than before."""
+    body = reduce(lambda b, drift: F.regexp_replace(b, *drift), DRIFTS, F.col("body"))
+    return shots.withColumn("body", body)
+
+
 def _incidents(lines: Column, **_) -> Shape:
     """Records of three kinds, each with fields the others lack."""
 
