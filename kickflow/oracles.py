@@ -229,6 +229,10 @@ ORACLES: dict[str, str] = {
     WITH {_football()}, s AS ({_shotmap()})
     SELECT s.* FROM s JOIN f ON s.match_id = CAST(f.o_orderkey AS VARCHAR)
     """,
+    "keyed_lookup_bucketed": f"""
+    WITH {_football()}, s AS ({_shotmap()})
+    SELECT s.* FROM s JOIN f ON s.match_id = CAST(f.o_orderkey AS VARCHAR)
+    """,
     "status_filter": f"SELECT * FROM ({_shotmap()}) WHERE status_code = 404",
     "null_fill": f"""
     SELECT id, xg, player_id, coalesce(player_flag, 'null') AS player_flag, match_id,

@@ -30,9 +30,20 @@ from kickflow.sinks.tables import (
 )
 from kickflow.sources import derived
 from kickflow.sources.files import read_files
-from kickflow.sources.replies import for_keys, land, of_endpoint, read_replies
+from kickflow.sources.replies import (
+    bucket_keys,
+    for_keys,
+    hot_replies,
+    land,
+    land_bucketed,
+    lookup,
+    of_endpoint,
+    read_replies,
+)
 from kickflow.streaming.incremental import latest, take_in
 
+# Of bucketed reply tables; a cluster takes some times its cores.
+BUCKETS = 16
 
 MATCH = struct_of(
     id=LONG,
@@ -154,13 +165,28 @@ def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endpoints.match_summary(derived.line_replies(configure(spark), sf_dir, ["match_summary"]))
 
 
+def _listed_and_landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Keys of the day's football matches, and shot replies; those of failed requests never landed."""
+    matches = endpoints.matchday(derived.matchday_replies(configure(spark), sf_dir), MATCH)
+    replies, _ = stored(derived.line_replies(spark, sf_dir, ["shotmap"]).where("status_code IS NOT NULL"), "replies")
+    return matches.select(F.col("match_id").alias("key"), "ds"), replies
+
+
 def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shots of the day's football matches; replies of failed requests were never landed."""
-    configure(spark)
-    matches = endpoints.matchday(derived.matchday_replies(spark, sf_dir), MATCH)
-    keys, _ = stored(matches.select(F.col("match_id").alias("key"), "ds"), "keys")
-    landed = of_endpoint(derived.line_replies(spark, sf_dir, ["shotmap"]), "shotmap")
-    return endpoints.shotmap(for_keys(landed.where("status_code IS NOT NULL"), keys), SHOT)
+    """Shots of listed matches, from replies in a folder."""
+    keys, replies = _listed_and_landed(spark, sf_dir)
+    keys, _ = stored(keys, "keys")
+    return endpoints.shotmap(for_keys(of_endpoint(replies, "shotmap"), keys), SHOT)
+
+
+def keyed_lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table that holds replies and keys in the same buckets: nothing moves."""
+    keys, replies = _listed_and_landed(spark, sf_dir)
+    database = _database(spark, "buckets")
+    raw, wanted = table_name(database, "raw"), table_name(database, "wanted")
+    land_bucketed(replies, raw, BUCKETS, hot_replies(replies))
+    bucket_keys(keys, wanted, "shotmap", raw, BUCKETS)
+    return endpoints.shotmap(lookup(spark, wanted, raw, "shotmap"), SHOT)
 
 
 def status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,6 +399,7 @@ QUERIES = {
         match_statistics_lenient,
         match_summary,
         keyed_lookup,
+        keyed_lookup_bucketed,
         status_filter,
         null_fill,
         week_starts,

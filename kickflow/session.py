@@ -85,11 +85,6 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
                 spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def lookup_by_key(spark: SparkSession) -> object:
-    """A block in which a lookup by key and day uses replies that are bucketed by key alone."""
-    return setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, so that a lost executor costs no rerun."""
     spark = df.sparkSession

@@ -10,7 +10,7 @@ from kickflow.plans.daily import TABLES, crawl_days, run_day, run_days
 from kickflow.plans.job import DONE, SKIPPED, EmptyInput, JobConfig, run_job, table_export
 from kickflow.plans.retention import expire, expired_days
 from kickflow.schemas import INT, LANDED, LONG, REPLIES, TEXT, struct_of
-from kickflow.session import lookup_by_key, setting, checkpointed, shared_folder
+from kickflow.session import checkpointed, setting, shared_folder
 from kickflow.sinks import jdbc
 from kickflow.sinks.store import Store
 from kickflow.sinks.tables import (
@@ -26,9 +26,12 @@ from kickflow.sources.database import DRIVERS, TABLES_SQL, catalog_tables, jdbc_
 from kickflow.sources.fetch import fetch_replies
 from kickflow.sources.files import read_files
 from kickflow.sources.replies import (
+    bucket_keys,
     for_keys,
+    hot_replies,
     land,
     land_bucketed,
+    lookup,
     of_endpoint,
     read_replies,
 )
@@ -229,20 +232,42 @@ def check_lookup(rows):
     )
 
 
-def test_bucketed_lookup_moves_no_bodies(spark, database, replies):
-    rows = replies(*[(str(n), 200, shot(n)) for n in range(200)]).withColumn("endpoint", F.lit("shotmap"))
-    table = table_name(database, "raw")
-    land_bucketed(rows.select(REPLIES.names), table, buckets=4)
+def bucketed(spark, database, rows, keys, most=1000, buckets=4):
+    raw, wanted = table_name(database, "raw"), table_name(database, "wanted")
+    for part in rows:
+        part = part.withColumn("endpoint", F.lit("shotmap")).select(REPLIES.names)
+        land_bucketed(part, raw, buckets, hot_replies(part, most))
+    bucket_keys(keys, wanted, "shotmap", raw, buckets)
+    return lookup(spark, wanted, raw, "shotmap")
+
+
+def test_bucketed_lookup_moves_nothing(spark, database, replies):
+    rows = replies(*[(str(n), 200, shot(n)) for n in range(200)])
     keys = rows.select("key", "ds").where("key < '5'")
-    raw = of_endpoint(spark.table(table), "shotmap")
-    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), lookup_by_key(spark):
-        found = for_keys(raw, keys)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        found = bucketed(spark, database, [rows], keys)
         plan = found._jdf.queryExecution().executedPlan().toString()
-        # The keys move to the replies; no reply with its body does.
-        inner = plan[: plan.index("LeftAnti")]
-        assert inner.count("Exchange hashpartitioning(key") == inner.count("Exchange") == 1
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        scans = [line for line in plan.splitlines() if "FileScan" in line]
+        assert len(scans) == 2 and all("SelectedBucketsCount" in line or "Bucketed: true" in line for line in scans)
+        assert "part" in plan.split("PartitionFilters: ")[1]
         assert found.count() == keys.count()
-    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+@pytest.mark.parametrize("most", [1000, 3])
+def test_bucketed_lookup(spark, database, replies, most):
+    """As by ``for_keys``; with few replies to a slot, key 7 is dealt out and slots are empty."""
+    first = replies(("1", 200, shot(1, 2)), ("2", 404, None), ("2", 200, shot(3)), ("9", 200, shot(9)))
+    hot = replies(*[("7", 200, shot(n % 5)) for n in range(40)], *[("8", 200, shot(n)) for n in range(2)])
+    keys = spark.createDataFrame(
+        [("1", D2), ("1", D2), ("2", D2), ("3", D2), ("9", D3), (None, D2), ("7", D2), ("7", D3), ("8", D2)],
+        "key STRING, ds STRING",
+    )
+    found = bucketed(spark, database, [first, hot, hot.limit(1)], keys, most)
+    wanted = for_keys(first.unionByName(hot).unionByName(hot.limit(1)), keys)
+    assert sorted(found.collect(), key=repr) == sorted(wanted.select(found.columns).collect(), key=repr)
+    held = spark.table(table_name(database, "raw")).where("key = '7'").select("slot").distinct().count()
+    assert (held > 1) == (most == 3)
 
 
 def test_fetch(spark):
