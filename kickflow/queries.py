@@ -184,9 +184,9 @@ def keyed_lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys, replies = _listed_and_landed(spark, sf_dir)
     database = _database(spark, "buckets")
     raw, wanted = table_name(database, "raw"), table_name(database, "wanted")
-    land_bucketed(replies, raw, BUCKETS, hot_replies(replies))
+    land_bucketed(replies, raw, BUCKETS, hot_replies(replies), unit="year")
     bucket_keys(keys, wanted, "shotmap", raw, BUCKETS)
-    return endpoints.shotmap(lookup(spark, wanted, raw, "shotmap"), SHOT)
+    return endpoints.shotmap(lookup(spark, wanted, raw, "shotmap", unit="year"), SHOT)
 
 
 def status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
