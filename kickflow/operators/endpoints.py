@@ -3,7 +3,8 @@
 Each takes replies ``key, ds, status_code, body`` of its endpoint and returns the
 flat table with ``ds``. Where a record shape is not given it is inferred from the
 replies, which costs one more pass over them. Where one is given, a value of another type is
-NULL; ``rescue`` names a column for such values, as JSON text by their path.
+NULL; ``rescue`` names a column for such values, as JSON text by their path. ``split`` has
+larger bodies parsed in pieces of so many bytes, for replies that no single task should read.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from kickflow.functions.bodies import (
     variant_path,
 )
 from kickflow.functions.nested import at, check_names, expand, flat_name, leaves
+from kickflow.operators.large import rows_by_pieces
 from kickflow.operators.rows import row_status, rows_or_error
 from kickflow.schemas import BEST_PLAYER, LINEUP_ENTRY, STATISTIC_ITEM, TEXT, ddl, struct_of
 
@@ -79,11 +81,25 @@ def matchday_audit(replies: DataFrame) -> DataFrame:
     return replies.select("ds", "status_code", reason.alias("reason"))
 
 
+def _rows(
+    replies: DataFrame, name: str, record: T.StructType, on_bad: str, rescue: str | None, split: int | None
+) -> DataFrame:
+    """Rows of the array ``name``; bodies of more than ``split`` bytes are parsed in pieces."""
+    if split is None:
+        return rows_or_error(replies, _records([name], record, rescue), on_bad)
+    return rows_by_pieces(replies, name, lambda: _records([name], record, rescue), split, on_bad)
+
+
 def _per_match(
-    replies: DataFrame, name: str, record: T.StructType | None, on_bad: str, rescue: str | None
+    replies: DataFrame,
+    name: str,
+    record: T.StructType | None,
+    on_bad: str,
+    rescue: str | None,
+    split: int | None,
 ) -> DataFrame:
     record = record or infer(replies, [name])
-    rows = rows_or_error(replies, _records([name], record, rescue), on_bad)
+    rows = _rows(replies, name, record, on_bad, rescue, split)
     return expand(
         rows.withColumnRenamed("key", "match_id"),
         "record",
@@ -96,8 +112,9 @@ def shotmap(
     record: T.StructType | None = None,
     on_bad: str = "truncate",
     rescue: str | None = None,
+    split: int | None = None,
 ) -> DataFrame:
-    return _per_match(replies, "shotmap", record, on_bad, rescue)
+    return _per_match(replies, "shotmap", record, on_bad, rescue, split)
 
 
 def match_incident(
@@ -105,8 +122,9 @@ def match_incident(
     record: T.StructType | None = None,
     on_bad: str = "truncate",
     rescue: str | None = None,
+    split: int | None = None,
 ) -> DataFrame:
-    return _per_match(replies, "incidents", record, on_bad, rescue)
+    return _per_match(replies, "incidents", record, on_bad, rescue, split)
 
 
 def match_event(
@@ -114,10 +132,11 @@ def match_event(
     record: T.StructType | None = None,
     on_bad: str = "truncate",
     rescue: str | None = None,
+    split: int | None = None,
 ) -> DataFrame:
     """Head-to-head events by custom id; an error row has that id in ``match_id``."""
     record = record or infer(replies, ["events"])
-    rows = rows_or_error(replies, _records(["events"], record, rescue), on_bad)
+    rows = _rows(replies, "events", record, on_bad, rescue, split)
     found = F.col("record").isNotNull()
     match_id = F.when(~found, F.col("key"))
     if "match_id" in record.names:

@@ -125,6 +125,7 @@ ORACLES: dict[str, str] = {
     FROM (SELECT DISTINCT {_DAY} AS ds FROM orders)
     """,
     "shotmap": _shotmap(),
+    "shotmap_split": _shotmap(),
     "shotmap_inferred": _shotmap(id_type="BIGINT"),
     "failures_inferred": f"""
     WITH {_matches()}

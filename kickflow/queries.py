@@ -105,6 +105,12 @@ def shotmap_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endpoints.shotmap(derived.line_replies(configure(spark), sf_dir, ["shotmap"]))
 
 
+def shotmap_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies of more than two shots or so are cut between them, and parsed apart."""
+    replies = derived.line_replies(configure(spark), sf_dir, ["shotmap"])
+    return endpoints.shotmap(replies, SHOT, split=150)
+
+
 def value_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shots whose values have changed their types: what the columns lose is kept by path."""
     replies = derived.drifted(derived.line_replies(configure(spark), sf_dir, ["shotmap"]))
@@ -387,6 +393,7 @@ QUERIES = {
         shotmap,
         shotmap_inferred,
         failures_inferred,
+        shotmap_split,
         value_rescue,
         match_event,
         match_incident,
