@@ -147,14 +147,15 @@ def infer_record(values: DataFrame, column: str) -> T.StructType:
         return T.StructType([])
     quoted = re.split(r"(`(?:[^`]|``)*`)", seen)
     quoted[::2] = [part.replace("OBJECT<", "STRUCT<") for part in quoted[::2]]
-    return _plain(T.DataType.fromDDL("".join(quoted)))
+    return plain(T.DataType.fromDDL("".join(quoted)))
 
 
-def _plain(data_type: T.DataType) -> T.DataType:
+def plain(data_type: T.DataType) -> T.DataType:
+    """An inferred type as one of columns; of what has no single type, as text."""
     if isinstance(data_type, T.StructType):
-        return T.StructType([T.StructField(f.name, _plain(f.dataType)) for f in data_type])
+        return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in data_type])
     if isinstance(data_type, T.ArrayType):
-        return T.ArrayType(_plain(data_type.elementType))
+        return T.ArrayType(plain(data_type.elementType))
     if isinstance(data_type, T.DecimalType):
         return T.DecimalType(38, 0) if data_type.scale == 0 else T.DoubleType()
     if isinstance(data_type, (T.NullType, T.VariantType)):

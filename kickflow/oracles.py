@@ -126,6 +126,20 @@ ORACLES: dict[str, str] = {
     """,
     "shotmap": _shotmap(),
     "shotmap_split": _shotmap(),
+    "drift_report": f"""
+    WITH {_matches()},
+    first AS (
+      SELECT min(ds) FILTER (WHERE ds >= '1997') AS ds97, min(ds) FILTER (WHERE ds >= '1999') AS ds99,
+             count(*) FILTER (WHERE ds < '1997') AS n95, count(*) FILTER (WHERE ds >= '1997' AND ds < '1999') AS n97
+      FROM l
+    )
+    SELECT ds97 AS ds, 'player.flag' AS field, 'went' AS change, CAST(NULL AS VARCHAR) AS type, 'string' AS before
+    FROM first WHERE n95 > 0 AND n97 > 0
+    UNION ALL
+    SELECT ds99, 'player.flag', 'came', 'string', NULL FROM first WHERE n97 > 0 AND ds99 IS NOT NULL
+    UNION ALL
+    SELECT ds99, 'xg', 'changed', 'string', 'number' FROM first WHERE n95 + n97 > 0 AND ds99 IS NOT NULL
+    """,
     "shotmap_inferred": _shotmap(id_type="BIGINT"),
     "failures_inferred": f"""
     WITH {_matches()}

@@ -13,7 +13,7 @@ from kickflow.functions.bodies import member
 from kickflow.functions.dates import week_start
 from kickflow.functions.nested import fill_text_nulls
 from kickflow.operators import endpoints
-from kickflow.plans import daily
+from kickflow.plans import daily, shapes
 from kickflow.plans.daily import run_days
 from kickflow.plans.job import JobConfig, run_job, table_export
 from kickflow.plans.retention import expire, expired_days
@@ -102,7 +102,20 @@ def shotmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shotmap_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endpoints.shotmap(derived.line_replies(configure(spark), sf_dir, ["shotmap"]))
+    """The shape is that of stored sketches, made of the replies day by day."""
+    replies, _ = stored(derived.line_replies(configure(spark), sf_dir, ["shotmap"]), "replies")
+    store = Store(spark, shared_folder(spark, "shapes"), "year")
+    shapes.refresh(store, "shotmap", replies, ["shotmap"])
+    return endpoints.shotmap(replies, shapes.inferred(store, "shotmap"))
+
+
+def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shots lose a field in 1997, and one has another type in 1999: on which day, from sketches made in two steps."""
+    replies, _ = stored(derived.evolving(derived.line_replies(configure(spark), sf_dir, ["shotmap"])), "replies")
+    store = Store(spark, shared_folder(spark, "shapes"), "year")
+    for part in (replies.where(F.col("ds") < "1998-06-01"), replies):
+        shapes.refresh(store, "shotmap", part, ["shotmap"])
+    return shapes.drift(store, "shotmap")
 
 
 def shotmap_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,6 +406,7 @@ QUERIES = {
         shotmap,
         shotmap_inferred,
         failures_inferred,
+        drift_report,
         shotmap_split,
         value_rescue,
         match_event,

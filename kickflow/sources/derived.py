@@ -231,6 +231,15 @@ def drifted(shots: DataFrame) -> DataFrame:
     return shots.withColumn("body", body)
 
 
+def evolving(shots: DataFrame) -> DataFrame:
+    """Replies of the shots of a feed that changes: no flag in 1997 and 1998, text for xg from 1999 on."""
+    body, ds = F.col("body"), F.col("ds")
+    without = F.regexp_replace(body, r',"flag":"\w"', "")
+    text = F.regexp_replace(body, r'"xg":([^,]*)', r'"xg":"$1"')
+    body = F.when(ds >= "1999", text).when(ds >= "1997", without).otherwise(body)
+    return shots.withColumn("body", body)
+
+
 def _incidents(lines: Column, **_) -> Shape:
     """Records of three kinds, each with fields the others lack."""
 
