@@ -8,7 +8,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kickflow.llm.common import (
@@ -34,6 +34,8 @@ SLACK = 1e-9
 BUCKET = 32
 # Hash values that tell which shingles two texts lack of each other.
 BITS = 2048
+# Hash values by which shingles are counted, to tell rare ones from frequent ones.
+SLOTS = 1 << 19
 
 _U = np.uint64
 
@@ -214,44 +216,64 @@ def _pairs_of(
     return left.join(right, group).where(wanted).select("a", "b")
 
 
+def _tally(texts: DataFrame, words: int) -> np.ndarray:
+    """How many texts have a shingle of each of ``SLOTS`` hash values, at least.
+
+    At most that many rows leave a task, and as many come to the driver, whatever the input.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, np.int64)
+        for batch in slices(batches, "words", 1 << 20):
+            _, hashes, _ = weighted(batch.column("words").to_pylist(), words)
+            seen += np.bincount((hashes % _U(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slots = np.flatnonzero(seen)
+        for some in np.array_split(slots, max(1, len(slots) // 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], ["slot", "n"])
+
+    found = texts.select("words").mapInArrow(run, "slot long, n long")
+    found = found.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int32)
+    often[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.int32).max)
+    return often
+
+
 def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
     """(shingle, key, root, spent): the rarest shingles of each text, of which near ones share one.
 
     Similarity is at most the sum over shingles of the lesser of two texts' shares. So the
-    first shared shingle, in order of frequency, has before it at most ``1 - least`` of either
-    text (``spent``). This is exact, and what many texts have in common makes no candidates,
-    unless there is hardly anything else in them.
+    first shared shingle, in an order that is the same for all texts, has before it at most
+    ``1 - least`` of either text (``spent``). This is exact for any order. Here it is that of
+    a sketch of the frequencies, which is sent to the tasks, so what many texts have in common
+    makes no candidates, unless there is hardly anything else in them. Only the prefixes move.
     """
+    often = texts.sparkSession.sparkContext.broadcast(_tally(texts, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "words", 1 << 20):
             of, hashes, weights = weighted(batch.column("words").to_pylist(), words)
-            rows = pa.array(of)
+            n = often.value[(hashes % _U(SLOTS)).astype(np.int64)]
+            order = np.lexsort((hashes, n, of))
+            of, hashes, weights, n = of[order], hashes[order], weights[order], n[order]
+            before = np.cumsum(weights) - weights
+            first = np.searchsorted(of, np.arange(len(batch)))
+            whole = np.bincount(of, weights, len(batch))
+            before = before - np.append(before, 0)[first][of]
+            spent = before / whole[of]
+            kept = (spent <= 1 - least + SLACK) & (n > 1)
+            rows = pa.array(of[kept])
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(hashes[kept].view(np.int64)),
                     batch.column("key").take(rows),
                     batch.column("root").take(rows),
-                    pa.array(hashes.view(np.int64)),
-                    pa.array(weights),
+                    pa.array(spent[kept]),
                 ],
-                ["key", "root", "shingle", "weight"],
+                ["shingle", "key", "root", "spent"],
             )
 
-    schema = "key binary, root binary, shingle long, weight long"
-    rows = texts.select("key", "root", "words").mapInArrow(run, schema)
-    rows = stored(rows, "shingles")
-    often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
-    own = Window.partitionBy("key")
-    before = own.orderBy("often", "shingle").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(often, "shingle").withColumns(
-        {
-            "before": F.coalesce(F.sum("weight").over(before), F.lit(0)),
-            "whole": F.sum("weight").over(own),
-        }
-    )
-    rows = rows.withColumn("spent", F.col("before") / F.col("whole"))
-    rows = rows.where((F.col("spent") <= 1 - least + SLACK) & (F.col("often") > 1))
-    return stored(rows.select("shingle", "key", "root", "spent"), "rare")
+    schema = "shingle long, key binary, root binary, spent double"
+    return stored(texts.select("key", "root", "words").mapInArrow(run, schema), "rare")
 
 
 def _classes(
