@@ -15,16 +15,20 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from kickflow.llm.common import SIMILARITY, WORDS, bounded_batches, mix, shingles, slices, words_of
 
-# With 48 hashes a pair of containment 0.8 is missed with probability below 1e-6 where the
-# item fills its size class, and below 1e-5 at the class's lower end.
+# An item has more than half the shingles of its size class's bound, or just one where the bound
+# is one. So its minimum under a hash is that of its block with probability a third at least,
+# and with 48 hashes a pair of containment 0.8 is missed with probability below 1e-6.
 HASHES = 48
 ITEMS_AT_ONCE = 20_000
 WORDS_AT_ONCE = 2_000_000
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
-    """The least power of two that is at least ``n``, and 8 or more: the upper bound of a class."""
-    return 1 << np.ceil(np.log2(np.maximum(n, 8))).astype(np.int64)
+    """The least power of two that is at least ``n``: the upper bound of a class.
+
+    Blocks of one shingle compare every shingle of a text, so items of one are always found.
+    """
+    return 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)
 
 
 class Items:

@@ -92,4 +92,18 @@ def test_recall_of_the_search_alone():
         texts.append(" ".join([f"d{i}_{j}" for j in range(rng.randrange(2000))] + cut + [f"e{i}_{j}" for j in range(900)]))
     found = Items(list(range(400)), items, 5, decontamination.HASHES).search(texts, 0.8)
     assert {(t, m) for t, m, _ in found} == {(i, i) for i in range(400)}
-    assert size_class(np.array([1, 8, 9, 16, 17])).tolist() == [8, 8, 16, 16, 32]
+    assert size_class(np.array([1, 2, 3, 8, 9, 16, 17])).tolist() == [1, 2, 4, 8, 16, 16, 32]
+
+
+def test_items_of_one_shingle_are_always_found():
+    """Five words inside 200: no such item is missed, whatever its neighbours."""
+    rng = np.random.default_rng(3)
+    for part in range(4):
+        items = [" ".join(f"i{part}x{n}w{j}" for j in range(5)) for n in range(250)]
+        texts = []
+        for item in items:
+            words = [f"w{x}" for x in rng.integers(0, 10**9, 195)]
+            at = int(rng.integers(0, 196))
+            texts.append(" ".join([*words[:at], item, *words[at:]]))
+        found = Items(list(range(250)), items, 5, 48).search(texts, 0.8)
+        assert sorted((text, item) for text, item, _ in found) == [(n, n) for n in range(250)]
