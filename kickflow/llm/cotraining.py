@@ -7,7 +7,7 @@ import pickle
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -290,6 +290,21 @@ def features(docs: DataFrame, id: str, text: str, categories: list[str], length:
 
 
 FLOATS = pa.list_(pa.float32())
+# Sums of tasks that are added up at once, and that the driver gets.
+MERGED = 8
+
+
+def _packed(sums: list[np.ndarray]) -> bytes:
+    return zlib.compress(pickle.dumps(sums), 1)
+
+
+def _added(packed: Iterable[bytes]) -> list[np.ndarray] | None:
+    """The sums of sums, one after the other; None if there are none."""
+    total = None
+    for x in packed:
+        found = pickle.loads(zlib.decompress(x))
+        total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
+    return total
 
 
 def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -331,6 +346,7 @@ def quality(
     matrix = lambda rows, name, width: np.array([r[name] for r in rows], float).reshape(len(rows), width)
     width = 2 + BUCKETS * len(categories)
     pool = stored(joined.where("label IS NULL").select("text_view", "metadata_view"), "pool")
+    pool_tasks = pool.rdd.getNumPartitions()
 
     def total(part: Callable) -> list[np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,13 +357,19 @@ def quality(
                 found = part(_views(batch))
                 sums = found if sums is None else [a + b for a, b in zip(sums, found, strict=True)]
             if sums is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(pickle.dumps(sums), 1)])], ["sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(sums)])], ["sums"])
 
-        parts = None
-        for row in pool.mapInArrow(run, "sums binary").collect():
-            found = pickle.loads(zlib.decompress(row.sums))
-            parts = found if parts is None else [a + b for a, b in zip(parts, found, strict=True)]
-        return parts
+        def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = _added(x for batch in batches for x in batch.column("sums").to_pylist())
+            if sums is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(sums)])], ["sums"])
+
+        found, tasks = pool.mapInArrow(run, "sums binary"), pool_tasks
+        # A tree of merges: the driver gets as many sums however many tasks there are.
+        while tasks > MERGED:
+            tasks = max(MERGED, -(-tasks // MERGED))
+            found = found.repartition(tasks).mapInArrow(merged, "sums binary")
+        return _added(row.sums for row in found.collect())
 
     model = co_train(
         matrix(known, "text_view", TEXT_FEATURES),

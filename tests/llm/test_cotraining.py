@@ -77,3 +77,21 @@ def test_whole_pool_takes_part(spark, documents, monkeypatch):
     labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(100)], "doc_id long, quality int")
     assert quality(docs, labels).count() == 20_150
     assert seen[0] == (20_050, [20_050])
+
+
+def test_sums_of_many_tasks_are_merged(spark, monkeypatch):
+    """However many tasks there are, the driver gets few sums, and the scores stay."""
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    few = {r.doc_id: r.score for r in quality(docs.coalesce(1), labels).collect()}
+    monkeypatch.setattr(cotraining, "MERGED", 2)
+    # A task for each file of the pool.
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        many = {r.doc_id: r.score for r in quality(docs.repartition(12), labels).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert many.keys() == few.keys() and all(abs(many[i] - few[i]) < 1e-6 for i in few)
