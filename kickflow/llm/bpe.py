@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kickflow.llm.common import bounded_batches, slices
+from kickflow.llm.common import bounded_batches, resident, slices
 
 # Longer pieces are matrices of one row, each round of which merges all it can.
 LONGEST_ROW = 1024
@@ -223,14 +222,9 @@ class Tokens:
         return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-@lru_cache(1)
-def _coder(ranks: Broadcast, pattern: str) -> Coder:
-    return Coder(ranks.value, pattern)
-
-
-@lru_cache(1)
-def _tokens(ranks: Broadcast) -> Tokens:
-    return Tokens(ranks.value)
+def _tables(ranks: Broadcast, pattern: str | None) -> tuple[Coder | None, Tokens]:
+    coder = Coder(ranks.value, pattern) if pattern is not None else None
+    return coder, Tokens(ranks.value)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -265,15 +259,16 @@ def _coded(df: DataFrame, ranks_path: str, pattern: str | None, column: str, dec
     schema = df.select("*", *[kind.alias(name) for name, kind in kinds.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, tokens = resident(("bpe", ranks, pattern), lambda: _tables(ranks, pattern))
         for batch in slices(batches, column, SLICE_BYTES):
             given, new = batch.column(column).to_pylist(), []
             if pattern is not None:
-                ids = _coder(ranks, pattern).encode([x or "" for x in given])
+                ids = coder.encode([x or "" for x in given])
                 new += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             else:
                 ids = [x or b"" for x in given]
             if decode:
-                new.append(pa.array([_tokens(ranks).decode(x) for x in ids], pa.binary()))
+                new.append(pa.array([tokens.decode(x) for x in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *names])
 
     return df.mapInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_resident: dict = {}
+
+
+def resident(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept for the next tasks of this worker; what was kept before goes.
+
+    A worker serves one operator after the other, and should hold the tables of one only.
+    """
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches a task holds, in rows and bytes; results do not depend on it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
