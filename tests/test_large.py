@@ -132,3 +132,37 @@ def test_hot_order_unpaged(spark, tmp_path, monkeypatch):
     replies = derived.line_replies(spark, str(tmp_path), ["shotmap"])
     assert replies.agg(F.max(F.octet_length("body"))).first()[0] > 500_000
     assert difference(endpoints.shotmap(replies, SHOT, split=10_000), ORACLES["shotmap"], con) is None
+
+
+def test_short_bodies_are_scanned_alike():
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = json.dumps({"shotmap": [any_value(rng) for _ in range(4)], "x": any_value(rng)}).encode()
+        at = rng.randrange(len(text))
+        for body in (text, text[:at], text[at:], text[:at] + rng.choice([b'"', b"\\", b"]", b"{", b'\\"']) + text[at:]):
+            wanted, found = large._marks(body), large._small_marks(body)
+            assert (wanted is None) == (found is None)
+            assert wanted is None or all((a == b).all() for a, b in zip(wanted, found, strict=True))
+
+
+def test_pieces_of_many_bodies_are_handed_on_together(replies):
+    """A record batch for each body took most of the time."""
+    import pyarrow as pa
+
+    frame = replies(*[(str(i), 200, json.dumps({"shotmap": [{"id": i}, {"id": i + 1}]})) for i in range(500)])
+    seen = large.cut(frame.coalesce(1), "shotmap", 1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)])], ["n"])
+
+    found = [r.n for r in seen.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 1500 and max(found) > 500
+
+
+def test_faultless_pieces_meet_no_verdict(replies, monkeypatch):
+    stored, kept = large.stored, []
+    monkeypatch.setattr(large, "stored", lambda df, purpose: kept.append(stored(df, purpose)) or kept[-1])
+    frame = replies(*[(str(i), 200, body) for i, body in enumerate(BODIES[:4])])
+    found = endpoints.shotmap(frame, SHAPE, split=1)
+    assert sorted(map(str, found.collect())) == sorted(map(str, endpoints.shotmap(frame, SHAPE).collect()))
