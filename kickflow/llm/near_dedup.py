@@ -36,6 +36,8 @@ BUCKET = 32
 BITS = 2048
 # Hash values by which shingles are counted, to tell rare ones from frequent ones.
 SLOTS = 1 << 19
+# Text whose shingles are held at once; they take some hundred times as much.
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 
@@ -132,7 +134,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     ).join(texts.select(F.col("key").alias("b"), F.col("words").alias("right")).hint("merge"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "left"):
+        for batch in slices(batches, "left", SLICE_BYTES):
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             different = list(dict.fromkeys(left + right))
             of, hashes, weights = weighted(different, words)
@@ -156,7 +158,7 @@ def _masks(texts: DataFrame, words: int) -> DataFrame:
     """(key, mask, whole): which of ``BITS`` hash values a text's shingles have, and its weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "words", 1 << 20):
+        for batch in slices(batches, "words", SLICE_BYTES):
             of, hashes, weights = weighted(batch.column("words").to_pylist(), words)
             bits = hashes % _U(BITS)
             masks = np.zeros((len(batch), BITS // 64), _U)
@@ -224,7 +226,7 @@ def _tally(texts: DataFrame, words: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(SLOTS, np.int64)
-        for batch in slices(batches, "words", 1 << 20):
+        for batch in slices(batches, "words", SLICE_BYTES):
             _, hashes, _ = weighted(batch.column("words").to_pylist(), words)
             seen += np.bincount((hashes % _U(SLOTS)).astype(np.int64), minlength=SLOTS)
         slots = np.flatnonzero(seen)
@@ -250,7 +252,7 @@ def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
     often = texts.sparkSession.sparkContext.broadcast(_tally(texts, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "words", 1 << 20):
+        for batch in slices(batches, "words", SLICE_BYTES):
             of, hashes, weights = weighted(batch.column("words").to_pylist(), words)
             n = often.value[(hashes % _U(SLOTS)).astype(np.int64)]
             order = np.lexsort((hashes, n, of))
@@ -284,7 +286,7 @@ def _classes(
     bounded_batches(spark)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "words"):
+        for batch in slices(batches, "words", SLICE_BYTES):
             texts = batch.column("words").to_pylist()
             different = list(dict.fromkeys(texts))
             at = {t: i for i, t in enumerate(different)}

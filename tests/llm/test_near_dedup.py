@@ -152,3 +152,14 @@ def test_components(spark):
     nodes = {i for a, b in pairs if a != b for i in (a, b)}
     assert found == {(i, find(i)) for i in nodes}
     assert components(links.where("false")).count() == 0
+
+
+def test_shingles_of_little_text_are_held_at_once():
+    """Batches of 16 MB, whose shingles take some hundred times as much, ended executors."""
+    import inspect
+
+    from kickflow.llm import near_dedup
+
+    source = inspect.getsource(near_dedup)
+    assert near_dedup.SLICE_BYTES <= 1 << 20
+    assert source.count("in slices(batches, ") == source.count("SLICE_BYTES):") == 4
