@@ -322,7 +322,7 @@ def _content(spark: SparkSession, source: str) -> DataFrame:
 def run_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as the matches of a single day; rows and content per table."""
     ds = derived.CUSTOMER_DS
-    replies = _landed(configure(spark), sf_dir, F.lit(ds))
+    replies = _landed(configure(spark), sf_dir, F.lit(ds), folder_per_day=False)
     source = _database(spark, "run")
     audit = daily.run_day(replies, source, ds, options=RUN_OPTIONS, write="append")
     held = _content(spark, source).drop("n")
