@@ -1,0 +1,61 @@
+"""What moves between tasks when replies land and are looked up."""
+
+from kickflow.plans import daily
+from kickflow.queries import RUN_OPTIONS, _content, _database
+from kickflow.session import shared_folder
+from kickflow.sources import derived
+from kickflow.sources.replies import among, for_keys, key_map, land, read_replies
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def some(spark, n):
+    rows = spark.range(n).selectExpr("cast(id AS STRING) key", "'2000-01-01' ds", "200 status_code", "concat('body ', id) body")
+    keys = rows.where("crc32(key) % 5 = 0").select("key", "ds")
+    return rows, keys
+
+
+def test_key_map_keeps_what_is_asked_for_and_little_else(spark):
+    rows, keys = some(spark, 20_000)
+    n = keys.count()
+    kept = among(rows, key_map(keys, n))
+    assert kept.columns == rows.columns
+    assert kept.join(keys, ["key", "ds"], "left_semi").count() == n
+    assert kept.count() < 1.15 * n + 0.1 * 20_000
+
+
+def test_lookup_by_map_gives_the_same(spark):
+    rows, keys = some(spark, 2000)
+    twice = rows.unionByName(rows.where("try_cast(key AS INT) < 50"))
+    wanted = keys.unionByName(keys.limit(5)).unionByName(
+        spark.sql("SELECT 'none' key, '2000-01-01' ds UNION ALL SELECT NULL, '2000-01-01' UNION ALL SELECT '5', NULL")
+    )
+    found = for_keys(twice, wanted, key_map(wanted, wanted.count()))
+    assert sorted(map(str, found.collect())) == sorted(map(str, for_keys(twice, wanted).collect()))
+
+
+def test_common_files_are_written_where_the_replies_are(spark):
+    """Bodies were dealt out and sorted before they were written."""
+    folder = shared_folder(spark, "landing")
+    replies = spark.range(0, 400, 1, 4).selectExpr(
+        "concat('e', id % 3) endpoint", "cast(id AS STRING) key", "200 status_code",
+        "concat(id, repeat('{\"name\":1}', 200)) body", "date_format(date_add(DATE'2000-01-01', cast(id AS INT)), 'yyyy-MM-dd') ds",
+    )
+    land(replies, folder, folder_per_day=False)
+    held = read_replies(spark, folder)
+    assert sorted(map(str, held.collect())) == sorted(map(str, replies.select(*held.columns).collect()))
+    files = {x.split("/")[-1].split("-")[1] for x in held.inputFiles()}
+    assert len(files) == 4 and all(".zstd." in x for x in held.inputFiles())
+
+
+def test_run_with_a_key_map(spark, monkeypatch):
+    folder = shared_folder(spark, "landing")
+    land(derived.all_replies(spark, SMALL), folder, folder_per_day=False)
+    replies = read_replies(spark, folder)
+    held = []
+    for most in (0, 10**9):
+        monkeypatch.setattr(daily, "MANY_KEYS", most)
+        source = _database(spark, "mapped")
+        daily.run_days(replies, source, "1990-01-01", "2005-01-01", RUN_OPTIONS, unit="year")
+        held.append(sorted(map(str, _content(spark, source).collect())))
+    assert held[0] and held[0] == held[1]
