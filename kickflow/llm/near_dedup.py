@@ -19,6 +19,7 @@ from kickflow.llm.common import (
     shingles,
     slices,
     stored,
+    tidy,
     words_of,
 )
 from kickflow.llm.components import components
@@ -284,6 +285,7 @@ def _classes(
     """Stored (id, key) of each row, and (node, root) of the keys that have a near duplicate."""
     spark = keyed.sparkSession
     bounded_batches(spark)
+    tidy(spark)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "words", SLICE_BYTES):
@@ -316,6 +318,7 @@ def _classes(
     wanted = shared.select("key").distinct().hint("merge")
     texts = keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
     texts = stored(texts, "texts")
+    tidy(spark)
     stars = shared.join(pivots, "bucket").where("key <> pivot")
     stars = stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     stars = stored(_compared(stars, texts, words), "compared")
@@ -328,6 +331,7 @@ def _classes(
     open_ = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     open_ = open_.where("x <> y").select("bucket")
     placed = stored(placed.where("key <> pivot").join(open_, "bucket"), "open")
+    tidy(spark)
     few = placed.where(F.col("n") <= BUCKET).select("bucket", "key", "root", F.lit(0.0).alias("spent"))
     few = _pairs_of(few, "bucket", least)
     many = placed.where(F.col("n") > BUCKET).select("key", "root").distinct()
@@ -335,6 +339,7 @@ def _classes(
     rare = _pairs_of(_prefixes(many, words, least), "shingle", least, _masks(many, words))
     more = few.unionByName(rare).distinct()
     more = stored(more.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    tidy(spark)
     if not more.isEmpty():
         found = stored(_compared(more, texts, words), "compared")
         links = links.unionByName(found.where(F.col("similarity") >= least - SLACK))
